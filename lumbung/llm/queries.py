@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import format_copies
+from lumbung.llm import format_copies, pii
 from lumbung.session import table
 
 
@@ -21,6 +21,16 @@ def p1_messages(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("first_id").alias("first_post_id"), "copies")
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.entities(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"))
+    return found.select(F.col("id").alias("post_id"), "pii_type", "pii_text").distinct()
+
+
+def p2_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    done = pii.redact(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"))
+    return done.withColumnRenamed("id", "post_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
