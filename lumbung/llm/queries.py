@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import format_copies, pii
+from lumbung.llm import format_copies, pii, similarity_clusters
 from lumbung.session import table
 
 
@@ -31,6 +31,29 @@ def p2_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return done.withColumnRenamed("id", "post_id")
 
 
+def _posts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "assignments").select(F.col("chunk").alias("space"), F.col("post_id").alias("key"), similarity_clusters.word_set(F.col("clean_text")).alias("words"))
+
+
+def _topics(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "global_topics").select(F.lit("all").alias("space"), F.col("topic_key").alias("key"), similarity_clusters.keyword_set(F.col("keywords")).alias("words"))
+
+
+def _clusters(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    posts, topics = _posts(spark, sf), _topics(spark, sf)
+    return {"post": (similarity_clusters.clusters(posts, "0.6", 8), posts), "topic": (similarity_clusters.clusters(topics, "0.5"), topics)}
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = [m.where("key <> first").select(F.lit(kind).alias("record_kind"), F.col("first").alias("first_key"), F.col("key").alias("member_key")) for kind, (m, _) in _clusters(spark, sf).items()]
+    return kinds[0].unionByName(kinds[1])
+
+
+def p3_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = [similarity_clusters.describe(m, r).withColumn("record_kind", F.lit(kind)) for kind, (m, r) in _clusters(spark, sf).items()]
+    return kinds[0].unionByName(kinds[1])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
