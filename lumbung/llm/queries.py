@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import format_copies, pii, similarity_clusters
+from lumbung.llm import format_copies, language, pii, similarity_clusters
 from lumbung.session import table
 
 
@@ -54,6 +54,20 @@ def p3_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return kinds[0].unionByName(kinds[1])
 
 
+def _segments(spark: SparkSession, sf: str) -> DataFrame:
+    posts = table(spark, sf, "fetched_posts")
+    model = language.fit(table(spark, sf, "lang_samples"), "lang", "text", posts, "lang", "content")
+    return language.label_segments(posts, "post_id", "content", "lang", model)
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.mislabelled(_segments(spark, sf)).select(F.col("id").alias("post_id"), "true_lang")
+
+
+def p4_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return _segments(spark, sf).withColumnRenamed("id", "post_id").drop("passages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
