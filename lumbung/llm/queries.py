@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import format_copies, language, pii, similarity_clusters
+from lumbung.llm import format_copies, language, pii, similar_vectors, similarity_clusters
 from lumbung.session import table
 
 
@@ -68,6 +68,17 @@ def p4_segments(spark: SparkSession, sf: str) -> DataFrame:
     return _segments(spark, sf).withColumnRenamed("id", "post_id").drop("passages")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "post_vectors")
+    found = similar_vectors.similar_pairs(vectors, "vec_id", "vec", similar_vectors.most_similar(vectors, "vec_id", "vec"), 0.9)
+    return found.select(F.col("a").alias("vec_a"), F.col("b").alias("vec_b"))
+
+
+def p5_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    found = similar_vectors.most_similar(table(spark, sf, "post_vectors"), "vec_id", "vec").where("rank <= 5")
+    return found.select(F.col("id").alias("vec_id"), "rank", F.col("to").alias("neighbour"), F.round("cosine", 3).alias("cosine"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
