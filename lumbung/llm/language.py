@@ -165,11 +165,11 @@ def words_of(text: str) -> list[str]:
     return [w for w in PIECE.findall(NOISE.sub(" ", text).lower()) if w[0].isalpha() and len(w) > 1 and not LAUGH.fullmatch(w)]
 
 
-def fit(samples: DataFrame, lang_col: str, text_col: str, posts: DataFrame, post_lang_col: str, post_text_col: str, most_samples: int = 20_000, most_posts: int = 2_000) -> Model:
+def fit(samples: DataFrame, lang_col: str, text_col: str, posts: DataFrame, post_lang_col: str, post_text_col: str, most_samples: int = 20_000, most_posts: int = 1_000) -> Model:
     """A model from labelled samples, then widened by labelled posts that it agrees with.
 
     The fit is bounded: at most `most_samples` samples, and at most `most_posts` posts for each language of the samples,
-    taken in the order of a hash of the text. A post widens the model if its only segment has its label's language.
+    taken in the order of a hash of the text (1,000 is the most for which Spark cuts each task's rows before the shuffle). A post widens the model if its only segment has its label's language.
     """
     rows = samples.select(base_code(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     clean = rows.orderBy(F.xxhash64("text"), "text").limit(most_samples).collect()
