@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import format_copies, language, pii, similar_vectors, similarity_clusters
+from lumbung.llm import distinctive_terms, format_copies, language, leaked_items, pii, reading_level, similar_vectors, similarity_clusters, source_mixture
 from lumbung.session import table
 
 
@@ -79,6 +79,72 @@ def p5_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "rank", F.col("to").alias("neighbour"), F.round("cosine", 3).alias("cosine"))
 
 
+def _terms(spark: SparkSession, sf: str, kind: str, **kept) -> DataFrame:
+    name, key, text = {"post": ("fetched_posts", "post_id", "content"), "topic": ("global_topics", "topic_key", "keywords")}[kind]
+    found = distinctive_terms.distinctive(table(spark, sf, name), key, text, **kept)
+    return found.select(F.lit(kind).alias("record_kind"), F.col("key").alias("record_key"), "term", "tf", "df", "score")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    posts, topics = (_terms(spark, sf, kind, least_tf=3, df_range=(2, 12)) for kind in ("post", "topic"))
+    return posts.unionByName(topics).select("record_kind", "record_key", "term").distinct()
+
+
+def p7_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _terms(spark, sf, "post").unionByName(_terms(spark, sf, "topic"))
+
+
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leaked_items.leaked(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf).select(F.col("id").alias("doc_id"), "item_id")
+
+
+def p8_items(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "eval_items").select("item_id", "task").dropDuplicates(["item_id"])
+    per = _leaks(spark, sf).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("runs").alias("most_runs"), F.max("score").alias("best_score"))
+    return items.join(per, "item_id", "left").fillna(0, ["documents", "most_runs"])
+
+
+def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    counts = source_mixture.staged_counts(table(spark, sf, "documents"), "doc_id", "text", "source")
+    return counts, source_mixture.rates(counts, table(spark, sf, "mix_targets"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _mixture(spark, sf)[1].where("short").select("source")
+
+
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return source_mixture.mixture(*_mixture(spark, sf)).withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    counts, rate = _mixture(spark, sf)
+    return source_mixture.shares(source_mixture.mixture(counts, rate), rate)
+
+
+def _levels(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = reading_level.fit(docs, "doc_id", "text", table(spark, sf, "reading_labels"), "doc_id", "level")
+    return reading_level.reading_levels(docs, "doc_id", "text", model)
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf).select(F.col("id").alias("doc_id"), "band").distinct()
+
+
+def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf).withColumnRenamed("id", "doc_id")
+
+
+def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
+    by = _levels(spark, sf).groupBy("band", F.round("level").cast("int").alias("level"))
+    return by.agg(F.count("*").alias("documents"), F.sum("words").alias("words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
