@@ -79,7 +79,7 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(levels, pa.float64())], names=["id", "word", "level"])
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, level_col: str, most_docs: int = 20_000, most_words: int = 100_000, least_docs: int = 3, share: float = 0.5) -> Grades:
+def fit(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, level_col: str, most_docs: int = 5_000, most_words: int = 100_000, least_docs: int = 3, share: float = 0.5) -> Grades:
     """Word grades and their calibration from judged documents.
 
     The fit is bounded: at most `most_docs` judged documents, in the order of a hash of the id, and the `most_words`
