@@ -148,7 +148,8 @@ def clusters(records: DataFrame, like: str, least: int = 1, capacity: int = 20_0
     `records` has space, key and words (an array of distinct words). Two records of a space are neighbours if they
     share at least `like` (a decimal) of all distinct words of the two; those with fewer than `least` words, with null
     words or a null key or space have no neighbours. A repeated row counts once. Spaces of more than `capacity`
-    distinct word sets are cut into regions; equal sets are folded before anything else, whatever their number.
+    distinct word sets are cut into regions, and a region that still holds over twice as many into parts, of which any
+    two are clustered together; equal sets are folded before anything else, whatever their number.
     """
     share = Fraction(like)
     recs = records.where("space IS NOT NULL AND key IS NOT NULL").where(F.size("words") >= max(1, least))
@@ -172,9 +173,13 @@ def clusters(records: DataFrame, like: str, least: int = 1, capacity: int = 20_0
         ranked = F.array_sort(F.transform(F.split("words", GAP), lambda w: F.struct(F.coalesce(F.try_element_at(F.col("often"), w), F.lit(0)).alias("df"), w.alias("w"))))
         split = split.withColumn("ranked", F.transform(ranked, lambda x: x["w"]))
         reach = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(share.numerator) / F.lit(share.denominator)).cast("int") + 1
-        touched = F.array_distinct(F.transform(F.slice("ranked", F.lit(1), reach), lambda w: F.crc32(w.cast("binary")) % F.col("regions")))
-        split = split.select("space", F.array_join("ranked", GAP).alias("words"), "first", "regions", F.explode(touched).cast("int").alias("region"))
-        local = split.groupBy(*by).applyInArrow(run, shape)
+        touched = F.array_distinct(F.transform(F.slice("ranked", F.lit(1), reach), lambda w: (F.crc32(w.cast("binary")) % F.col("regions")).cast("int")))
+        split = split.select("space", F.array_join("ranked", GAP).alias("words"), "first", "regions", F.explode(touched).alias("region"))
+        crowd = split.groupBy(*by).agg(F.ceil(F.count("*") / capacity).cast("int").alias("parts")).where("parts > 2")
+        split = split.join(crowd, by, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        split = split.withColumn("part", F.pmod(F.xxhash64("first"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        split = split.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("part", "other", "parts")
+        local = split.groupBy(*by, "i", "j").applyInArrow(run, shape)
         links = links.unionByName(components(local, "first", "root").select(F.col("node").alias("first"), "root"))
     links = stage(links, "links")
     # A set is in a cluster if another set is linked to it, or if it has several records.
