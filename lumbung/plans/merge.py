@@ -17,7 +17,7 @@ def _vectors(cents: DataFrame, keys: list[str]) -> tuple[list[tuple], np.ndarray
     rows = cents.select(*keys, "centroid").orderBy(*keys).limit(MOST + 1).collect()
     if len(rows) > MOST:
         raise ValueError(f"more than {MOST} topics")
-    x = np.array([r[-1] for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([r[-1] for r in rows], np.float64).reshape(len(rows), -1 if rows else 0)
     return [tuple(r)[:-1] for r in rows], x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
