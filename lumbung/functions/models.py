@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,12 +21,23 @@ def hashed_ngrams(dim: int = 384, low: int = 3, high: int = 5) -> Embedder:
 
     def embed(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dim), np.float32)
-        for i, t in enumerate(texts):
-            b = f" {t} ".encode()
-            for n in range(low, high + 1):
-                for s in range(len(b) - n + 1):
-                    h = zlib.crc32(b[s : s + n])
-                    out[i, h % dim] += 1.0 if h >> 31 else -1.0
+        for at in range(0, len(texts), 256):
+            coded = [f" {t} ".encode() for t in texts[at : at + 256]]
+            flat = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64)
+            size = np.array([len(b) for b in coded])
+            owner, end = np.repeat(np.arange(len(coded)), size), np.repeat(np.cumsum(size), size)
+            h = np.zeros(len(flat), np.uint64)
+            for n in range(1, high + 1):  # h is the hash of the n bytes that start at each place
+                live = len(flat) - n + 1
+                if live < 1:
+                    break
+                h = (h[:live] ^ flat[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+                if n >= low:
+                    ok = np.flatnonzero(np.arange(live) + n <= end[:live])
+                    place = (h[ok] % np.uint64(dim)).astype(np.int64) + owner[ok] * dim
+                    sign = np.where(h[ok] >> np.uint64(63), 1.0, -1.0)
+                    out[at : at + 256] += np.bincount(place, sign, minlength=len(coded) * dim).reshape(len(coded), dim).astype(np.float32)
         size = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(size > 0, size, 1)
 

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from lumbung.functions.text import STOPWORDS
 
 
-def terms(text: Column, stopwords: list[str] = STOPWORDS, bigrams: bool = True) -> Column:
-    """Words of two or more characters without stopwords, and pairs of words that then follow each other."""
+def words(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
+    """Words of two or more characters without stopwords."""
     stop = F.array(*(F.lit(w) for w in stopwords))
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: (F.char_length(w) >= 2) & ~F.array_contains(stop, w))
-    if not bigrams:
-        return words
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: (F.char_length(w) >= 2) & ~F.array_contains(stop, w))
+
+
+def with_pairs(words: Column) -> Column:
+    """The words and the pairs of words that follow each other."""
+    pairs = F.transform(words, lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
     return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
 
 
@@ -23,7 +25,8 @@ def term_counts(df: DataFrame, topic: str, text: str, min_topics: int = 2, most_
 
     Ties at the limit go to the smaller term. Counts are combined per task; the vocabulary has a fixed bound.
     """
-    rows = df.where(F.col(topic) >= 0).select(F.col(topic).alias("topic"), F.explode(terms(F.col(text), **of)).alias("term"))
+    rows = df.where(F.col(topic) >= 0).select(F.col(topic).alias("topic"), words(F.col(text), **of).alias("words"))
+    rows = rows.select("topic", F.explode(with_pairs(F.col("words"))).alias("term"))
     counts = rows.groupBy("topic", "term").agg(F.count("*").alias("n"))
     vocabulary = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("f")).where(F.col("df") >= min_topics)
     kept = vocabulary.orderBy(F.desc("f"), "term").limit(most_terms)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lumbung.functions import models, text
 from lumbung.operators import community, components, corpus, keywords, skew, topics
 from lumbung.plans import batch, merge, report
-from lumbung.session import stage, table
+from lumbung.session import spread, stage, table
 from lumbung import sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,13 +41,13 @@ KEEP = ", ".join(f"'{x}'" for x in corpus.KEPT)
     '[^\p{{L}}\p{{N}}_{SPACE}]', ' ', 'g'), '[{SPACE}]+', ' ', 'g')) AS stripped FROM fetched_posts"""
 )
 def strip_links(spark, sf):
-    return table(spark, sf, "fetched_posts").select("post_id", text.strip_links(F.col("content")).alias("stripped"))
+    return spread(table(spark, sf, "fetched_posts").select("post_id", "content")).select("post_id", text.strip_links(F.col("content")).alias("stripped"))
 
 
 @query()
 def clean_text(spark, sf):
     lexicon = text.lexicon_map(table(spark, sf, "slang_lexicon"))
-    return table(spark, sf, "fetched_posts").select("post_id", text.clean_text(F.col("content"), lexicon).alias("clean_text"))
+    return spread(table(spark, sf, "fetched_posts").select("post_id", "content")).select("post_id", text.clean_text(F.col("content"), lexicon).alias("clean_text"))
 
 
 @query("SELECT slang, arg_max(formal, line_no) AS formal FROM (SELECT line_no, lower(trim(slang)) AS slang, lower(trim(formal)) AS formal FROM slang_lexicon) WHERE slang <> '' AND formal <> '' AND slang <> formal GROUP BY slang")
@@ -332,7 +332,7 @@ COUNTS = rf"""rows AS (SELECT topic, [w for w in string_split_regex(lower(clean_
 
 
 def _counts(spark, sf):
-    return stage(keywords.term_counts(table(spark, sf, "assignments"), "topic", "clean_text"), "counts")
+    return stage(keywords.term_counts(spread(table(spark, sf, "assignments").select("topic", "clean_text")), "topic", "clean_text"), "counts")
 
 
 @query(
@@ -515,7 +515,7 @@ def p6_users(spark, sf):
 
 @query()
 def batch_topics(spark, sf):
-    done = batch.run(table(spark, sf, "fetched_posts").select("post_id", "content"), "content", "post_id")
+    done = batch.run(spread(table(spark, sf, "fetched_posts").select("post_id", "content")), "content", "post_id")
     return done.topics.select("topic", "name", "n_rows", "n_unique", "keywords", "meta_topic")
 
 

@@ -47,3 +47,12 @@ def local_session(cpus: str = "8", partitions: int = 8) -> SparkSession:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a plain scan over all cores before costly work on each, if it has fewer splits than there are cores.
+
+    Large tables have more splits than cores and stay as they are. Only for scans: their splits are known unplanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumbung.functions import models
 from lumbung.operators import corpus, keywords, topics
@@ -100,6 +101,6 @@ def test_rake(spark):
 
 def test_keyword_terms(spark):
     df = spark.createDataFrame([("Harga dan bensin a naik",), ("",), ("satu",), (None,)], "t string")
-    assert [r[0] for r in df.select(keywords.terms(df.t, ["dan"])).collect()] == [["harga", "bensin", "naik", "harga bensin", "bensin naik"], [], ["satu"], None]
+    assert [r[0] for r in df.select(keywords.words(df.t, ["dan"]).alias("w")).select(keywords.with_pairs(F.col("w"))).collect()] == [["harga", "bensin", "naik", "harga bensin", "bensin naik"], [], ["satu"], None]
     empty = spark.createDataFrame([], "topic int, t string")
     assert keywords.ctfidf(keywords.term_counts(empty, "topic", "t")).count() == 0
