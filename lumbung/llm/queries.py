@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import distinctive_terms, format_copies, language, leaked_items, pii, reading_level, similar_vectors, similarity_clusters, source_mixture
-from lumbung.session import table
+from lumbung.session import spread
+from lumbung.session import table as read
+
+COLUMNS = {"fetched_posts": ["post_id", "content", "lang"], "documents": ["doc_id", "text", "source"]}
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table, the texts on all cores and without columns that no query here reads."""
+    df = read(spark, sf, name)
+    return spread(df.select(*COLUMNS[name])) if name in COLUMNS else df
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
