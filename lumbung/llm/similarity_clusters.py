@@ -119,6 +119,28 @@ def _overlap(ordered: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarra
     return np.bincount(twice, minlength=len(a))
 
 
+OFTEN = 50_000  # frequent words whose order is known to all tasks; any one order of words is right
+
+
+def _placed(like: Fraction, often: dict[str, int]):
+    """Each set once for every region that one of its rarest words falls into, its words in the common order."""
+
+    def run(batches):
+        for b in batches:
+            spaces, sets, firsts, counts = (c.to_pylist() for c in b.columns)
+            rows = []
+            for space, text, first, regions in zip(spaces, sets, firsts, counts, strict=True):
+                ranked = sorted(text.split(GAP), key=lambda w: (often.get(w, 0), w))
+                reach = len(ranked) - -(-len(ranked) * like.numerator // like.denominator) + 1
+                words = GAP.join(ranked)
+                rows += ((space, words, first, regions, r) for r in sorted({zlib.crc32(w.encode()) % regions for w in ranked[:reach]}))
+            if rows:
+                kinds = (b.schema.field(0).type, pa.string(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["space", "words", "first", "regions", "region"])
+
+    return run
+
+
 LINKS = pa.schema([("first", pa.int64()), ("root", pa.int64())])
 
 
@@ -166,15 +188,9 @@ def clusters(records: DataFrame, like: str, least: int = 1, capacity: int = 20_0
     links = whole.groupBy(*by).applyInArrow(run, shape)
     if not large.isEmpty():
         split = sets.join(F.broadcast(large), "space")
-        words = split.select("space", F.explode(F.split("words", GAP)).alias("w")).groupBy("space", "w").agg(F.count("*").alias("df"))
-        # words in a thousandth of a space's sets or more: at most a thousand times the mean number of words for each split space
-        often = words.join(F.broadcast(large), "space").where(F.col("df") * 1000 >= F.col("regions") * (capacity // 4)).groupBy("space").agg(F.map_from_entries(F.collect_list(F.struct("w", "df"))).alias("often"))
-        split = split.join(often, "space", "left").withColumn("often", F.coalesce("often", F.expr("map_from_arrays(array(), array())").cast("map<string,bigint>")))
-        ranked = F.array_sort(F.transform(F.split("words", GAP), lambda w: F.struct(F.coalesce(F.try_element_at(F.col("often"), w), F.lit(0)).alias("df"), w.alias("w"))))
-        split = split.withColumn("ranked", F.transform(ranked, lambda x: x["w"]))
-        reach = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(share.numerator) / F.lit(share.denominator)).cast("int") + 1
-        touched = F.array_distinct(F.transform(F.slice("ranked", F.lit(1), reach), lambda w: (F.crc32(w.cast("binary")) % F.col("regions")).cast("int")))
-        split = split.select("space", F.array_join("ranked", GAP).alias("words"), "first", "regions", F.explode(touched).alias("region"))
+        words = split.select(F.explode(F.split("words", GAP)).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+        often = {r["w"]: r["df"] for r in words.orderBy(F.desc("df"), "w").limit(OFTEN).collect()}
+        split = split.select("space", "words", "first", "regions").mapInArrow(_placed(share, often), f"space {dict(sets.dtypes)['space']}, words string, first long, regions int, region int")
         crowd = split.groupBy(*by).agg(F.ceil(F.count("*") / capacity).cast("int").alias("parts")).where("parts > 2")
         split = split.join(crowd, by, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
         split = split.withColumn("part", F.pmod(F.xxhash64("first"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -200,7 +216,8 @@ def describe(members: DataFrame, records: DataFrame, top: int = 3) -> DataFrame:
     rows = members.join(records.select("space", "key", "words").dropDuplicates(["space", "key"]), ["space", "key"])
     words = rows.select("space", "first", "key", F.size("words").alias("n"), F.explode("words").alias("w"))
     common = words.groupBy("space", "first", "w").agg(F.count("*").alias("c"))
-    typical = words.join(common, ["space", "first", "w"]).groupBy("space", "first", "key").agg((F.sum("c") / F.sqrt(F.first("n"))).alias("dot"))
+    weighed = join_hot(words, common.withColumn("weight", F.col("c")), ["space", "first", "w"], "weight")
+    typical = weighed.groupBy("space", "first", "key").agg((F.sum("c") / F.sqrt(F.first("n"))).alias("dot"))
     norm = common.groupBy("space", "first").agg(F.sqrt(F.sum(F.col("c").cast("double") * F.col("c"))).alias("norm"))
     size = members.groupBy("space", "first").agg(F.count("*").alias("members"))
     w = Window.partitionBy("space", "first").orderBy(F.desc("typical"), "key")
