@@ -43,7 +43,7 @@ def ctfidf(counts: DataFrame, top: int = 10) -> DataFrame:
     topics = counts.agg(F.count_distinct("topic").alias("k"))
     total = counts.groupBy("topic").agg(F.sum("n").alias("total"))
     score = F.col("n") / (F.col("total") + 1e-9) * (F.log(F.col("k") / (F.col("df") + 1.0)) + 1.0)
-    return _top(counts.join(F.broadcast(total), "topic").crossJoin(F.broadcast(topics)).withColumn("score", F.round(score, 9)), top)
+    return _top(counts.join(total, "topic").crossJoin(F.broadcast(topics)).withColumn("score", F.round(score, 9)), top)
 
 
 def ctfidf_by_class_size(counts: DataFrame, top: int = 10) -> DataFrame:
@@ -51,7 +51,7 @@ def ctfidf_by_class_size(counts: DataFrame, top: int = 10) -> DataFrame:
     total = counts.groupBy("topic").agg(F.sum("n").alias("total"))
     mean = total.agg(F.avg("total").alias("mean"))
     score = F.col("n") / F.col("total") * F.log(1 + F.col("mean") / F.col("f"))
-    return _top(counts.join(F.broadcast(total), "topic").crossJoin(F.broadcast(mean)).withColumn("score", F.round(score, 9)), top)
+    return _top(counts.join(total, "topic").crossJoin(F.broadcast(mean)).withColumn("score", F.round(score, 9)), top)
 
 
 def joined(ranked: DataFrame) -> DataFrame:

@@ -171,3 +171,26 @@ def cluster_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ("topi
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(root).select("path")
     name = F.element_at(F.split("path", "/"), -1)
     return files.where(~name.isin(*skip) & ~F.col("path").contains("/cache/"))
+
+
+def finished_chunks(centroids: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The centroids of chunks that a manifest lists as finished, whatever else lies there."""
+    return centroids.join(manifest.select("chunk").distinct(), "chunk", "left_semi")
+
+
+def write_cursor(spark: SparkSession, path: str, index_no: int, after: tuple) -> None:
+    """Where a fetch stands: the index and the order keys of its last written row, as one row of a table."""
+    keys = [json.dumps(str(k)) for k in after]
+    spark.createDataFrame([(index_no, keys)], "index_no int, after array<string>").coalesce(1).write.mode("append").json(path)
+
+
+def read_cursor(spark: SparkSession, path: str) -> tuple[int, tuple[str, ...]] | None:
+    """The furthest cursor of a fetch, or None before the first; keys are strings, to be compared as their columns' types."""
+    try:
+        rows = spark.read.schema("index_no int, after array<string>").json(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    last = rows.withColumn("at", F.col("_metadata.file_modification_time")).orderBy(F.desc("index_no"), F.desc("at"), F.desc("after")).first()
+    return (last["index_no"], tuple(json.loads(k) for k in last["after"])) if last else None
