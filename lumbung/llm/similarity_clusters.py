@@ -25,6 +25,7 @@ from lumbung.session import stage
 
 GAP = "\u0001"
 BITS = 256
+WORDS_AT_ONCE = 2_000_000  # words of pairs that a task compares at once
 
 
 def word_set(text: Column) -> Column:
@@ -101,8 +102,10 @@ def local_clusters(first: np.ndarray, codes: np.ndarray, start: np.ndarray, like
         ok = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= both - 2 * need
         pairs = np.unique(a[ok] * np.int64(m) + b[ok])
         a, b = pairs // m, pairs % m
-        for k in range(0, len(a), 50_000):
-            x, y = a[k : k + 50_000], b[k : k + 50_000]
+        words = np.cumsum(size[a] + size[b])
+        cuts = np.unique(np.r_[0, np.searchsorted(words, np.arange(WORDS_AT_ONCE, words[-1] if len(a) else 0, WORDS_AT_ONCE)), len(a)])
+        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            x, y = a[s:e], b[s:e]
             shared = _overlap(ordered, start, x, y)
             yes = shared * (den + num) >= num * (size[x] + size[y])
             roots = _merge(roots, x[yes], y[yes])
