@@ -216,9 +216,10 @@ def describe(members: DataFrame, records: DataFrame, top: int = 3) -> DataFrame:
     the cluster: the cosine of its words to the sum of all members' words. Ties go to the smaller key. Word counts are
     combined before the shuffle and the best members are picked per task first, so a huge cluster stays spread.
     """
-    rows = members.join(records.select("space", "key", "words").dropDuplicates(["space", "key"]), ["space", "key"])
+    members = stage(members, "members")
+    rows = stage(records.join(members, ["space", "key"]).select("space", "first", "key", "words").dropDuplicates(["space", "key"]), "rows")
     words = rows.select("space", "first", "key", F.size("words").alias("n"), F.explode("words").alias("w"))
-    common = words.groupBy("space", "first", "w").agg(F.count("*").alias("c"))
+    common = stage(words.groupBy("space", "first", "w").agg(F.count("*").alias("c")), "common")
     weighed = join_hot(words, common.withColumn("weight", F.col("c")), ["space", "first", "w"], "weight")
     typical = weighed.groupBy("space", "first", "key").agg((F.sum("c") / F.sqrt(F.first("n"))).alias("dot"))
     norm = common.groupBy("space", "first").agg(F.sqrt(F.sum(F.col("c").cast("double") * F.col("c"))).alias("norm"))
