@@ -217,7 +217,7 @@ def describe(members: DataFrame, records: DataFrame, top: int = 3) -> DataFrame:
     combined before the shuffle and the best members are picked per task first, so a huge cluster stays spread.
     """
     members = stage(members, "members")
-    rows = stage(records.join(members, ["space", "key"]).select("space", "first", "key", "words").dropDuplicates(["space", "key"]), "rows")
+    rows = stage(records.select("space", "key", "words").join(members, ["space", "key"]).select("space", "first", "key", "words").dropDuplicates(["space", "key"]), "rows")
     words = rows.select("space", "first", "key", F.size("words").alias("n"), F.explode("words").alias("w"))
     common = stage(words.groupBy("space", "first", "w").agg(F.count("*").alias("c")), "common")
     weighed = join_hot(words, common.withColumn("weight", F.col("c")), ["space", "first", "w"], "weight")
