@@ -211,20 +211,47 @@ def surrogate(kind: str, text: str, names: Names, key: bytes = KEY, attempt: int
     return "".join(out)
 
 
-HITS = "id long, start int, stop int, pii_type string, pii_text string, normal string, surrogate string, surrogate_normal string"
+HIT = pa.struct([("start", pa.int32()), ("stop", pa.int32()), *((c, pa.string()) for c in ("pii_type", "pii_text", "normal", "surrogate", "surrogate_normal"))])
+HITS = "array<struct<start:int,stop:int,pii_type:string,pii_text:string,normal:string,surrogate:string,surrogate_normal:string>>"
 
 
-def _scan(batches, names: list[str], key: bytes):
-    known, schema = Names(names), pa.schema([("id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), *((c, pa.string()) for c in ("pii_type", "pii_text", "normal", "surrogate", "surrogate_normal"))])
+def _scan(batches, names: list[str], key: bytes, keep_text: bool):
+    """id, text (null unless kept) and hits of each text; without `keep_text` only of those with any."""
+    known = Names(names)
     for b in batches:
-        rows = []
+        ids, texts, hits = [], [], []
         for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for s, e, kind in detect(text, known):
+            own = []
+            for s, e, kind in detect(text, known) if text else ():
                 t = text[s:e]
                 new = surrogate(kind, t, known, key)
-                rows.append((i, s, e, kind, t, normal(kind, t), new, normal(kind, new)))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                own.append({"start": s, "stop": e, "pii_type": kind, "pii_text": t, "normal": normal(kind, t), "surrogate": new, "surrogate_normal": normal(kind, new)})
+            if own or keep_text:
+                ids.append(i)
+                texts.append(text if keep_text else None)
+                hits.append(own)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(hits, pa.list_(HIT))], names=["id", "text", "hits"])
+
+
+def _known(names: DataFrame, name_col: str, most: int) -> list[str]:
+    known = [r[0] for r in names.select(F.col(name_col)).where(F.col(name_col).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(known) > most:
+        raise ValueError(f"more than {most} names")
+    return sorted(known)
+
+
+def _settle(hits: DataFrame, known: list[str], key: bytes) -> tuple[DataFrame, bool]:
+    """The hits with surrogates that are distinct for distinct entities, and whether any had to be keyed anew."""
+    for attempt in range(1, 20):
+        owners = hits.groupBy("pii_type", "normal", "surrogate_normal").agg(F.min("pii_text").alias("pii_text"))
+        first = owners.groupBy("pii_type", "surrogate_normal").agg(F.min("normal").alias("owner"), F.max("normal").alias("last")).where("owner < last")
+        clash = stage(owners.join(first, ["pii_type", "surrogate_normal"]).where("normal <> owner").select("pii_type", "normal"), "clash")
+        if clash.isEmpty():
+            return hits, attempt > 1
+        again = hits.join(clash, ["pii_type", "normal"], "left_semi").drop("surrogate", "surrogate_normal")
+        again = again.mapInArrow(_rekey(known, key, attempt), ", ".join(f"{n} {t}" for n, t in again.dtypes) + ", surrogate string, surrogate_normal string")
+        hits = stage(hits.join(clash, ["pii_type", "normal"], "left_anti").unionByName(again), "hits")
+    raise RuntimeError("surrogates stay equal")
 
 
 def _rekey(names: list[str], key: bytes, attempt: int):
@@ -245,38 +272,33 @@ def entities(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name_c
     no entities; a repeated row has them once. Entities that overlap are resolved in the order email, id_number, phone,
     address, person_name. Surrogates of distinct entities are distinct in the whole table, those of one entity equal.
     """
-    known = [r[0] for r in names.select(F.col(name_col)).where(F.col(name_col).isNotNull()).distinct().limit(most_names + 1).collect()]
-    if len(known) > most_names:
-        raise ValueError(f"more than {most_names} names")
-    known.sort()
+    known = _known(names, name_col, most_names)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text <> ''")
-    hits = stage(rows.mapInArrow(lambda it: _scan(it, known, key), HITS).distinct(), "hits")
-    owners = hits.groupBy("pii_type", "normal", "surrogate_normal").agg(F.min("pii_text").alias("pii_text"))
-    for attempt in range(1, 20):
-        first = owners.groupBy("pii_type", "surrogate_normal").agg(F.min("normal").alias("owner"), F.max("normal").alias("last")).where("owner < last")
-        clash = stage(owners.join(first, ["pii_type", "surrogate_normal"]).where("normal <> owner").select("pii_type", "normal"), "clash")
-        if clash.isEmpty():
-            return hits
-        again = hits.join(clash, ["pii_type", "normal"], "left_semi").drop("surrogate", "surrogate_normal")
-        again = again.mapInArrow(_rekey(known, key, attempt), ", ".join(f"{n} {t}" for n, t in again.dtypes) + ", surrogate string, surrogate_normal string")
-        hits = stage(hits.join(clash, ["pii_type", "normal"], "left_anti").unionByName(again), "hits")
-        owners = hits.groupBy("pii_type", "normal", "surrogate_normal").agg(F.min("pii_text").alias("pii_text"))
-    raise RuntimeError("surrogates stay equal")
+    found = rows.mapInArrow(lambda it: _scan(it, known, key, False), f"id long, text string, hits {HITS}").select("id", F.inline("hits"))
+    return _settle(stage(found.distinct(), "hits"), known, key)[0]
 
 
-def redact(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name_col: str = "name", key: bytes = KEY) -> DataFrame:
+def redact(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name_col: str = "name", key: bytes = KEY, most_names: int = 100_000) -> DataFrame:
     """(id, redacted, entities): each entity stands as [TYPE surrogate] in the text; texts without any stay as they are.
 
-    Null ids and null texts are kept with no entities; a repeated id gets the entities of each of its own texts only if
-    the texts are equal, so ids should be unique. Only texts with entities are joined, on their id.
+    Every row comes out, null ids and texts as well and repeated rows as often as they stand. Texts are not shuffled:
+    they carry their hits, and only texts with an entity that had to be keyed anew are joined, on their id; of those
+    with one id and different texts each gets the entities at its own places.
     """
-    hits = entities(df, id_col, text_col, names, name_col, key)
-    spans = hits.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "pii_type", "surrogate"))).alias("spans"))
+    known = _known(names, name_col, most_names)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    done = rows.join(spans, "id", "left")
+    texts = stage(rows.mapInArrow(lambda it: _scan(it, known, key, True), f"id long, text string, hits {HITS}"), "texts")
+    hits, anew = _settle(texts.select("id", F.inline("hits")), known, key)
+    if anew:
+        new = hits.select("pii_type", "normal", "pii_text", F.col("surrogate").alias("new")).distinct()
+        old = texts.select("id", F.posexplode("hits").alias("n", "h")).select("id", "n", "h.*")
+        changed = old.join(new, ["pii_type", "normal", "pii_text"]).where("surrogate <> new").select("id", F.struct("start", "pii_text", "new").alias("c"))
+        changed = changed.groupBy("id").agg(F.collect_set("c").alias("changes"))
+        texts = texts.join(changed, "id", "left")
+        same = lambda h: F.filter("changes", lambda c: (c["start"] == h["start"]) & (c["pii_text"] == h["pii_text"]))
+        texts = texts.withColumn("hits", F.transform("hits", lambda h: h.withField("surrogate", F.coalesce(F.get(same(h), 0)["new"], h["surrogate"]))))
     step = lambda a, s: F.struct(
         F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["pii_type"]), F.lit(" "), s["surrogate"], F.lit("]")).alias("out"), s["stop"].alias("at")
     )
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    made = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1)))
-    return done.select("id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(made).alias("redacted"), F.coalesce(F.size("spans"), F.lit(0)).alias("entities"))
+    made = F.aggregate("hits", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda a: F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1)))
+    return texts.select("id", F.when(F.size("hits") > 0, made).otherwise(F.col("text")).alias("redacted"), F.size("hits").alias("entities"))

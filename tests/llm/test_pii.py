@@ -66,3 +66,5 @@ def test_clashing_surrogates_are_keyed_anew(spark):
     df = spark.createDataFrame([(i, f"Jl. {chr(97 + i % 26)} No. {i // 26}") for i in range(130)], "id long, text string")
     hits = pii.entities(df, "id", "text", names).collect()
     assert len(hits) == 130 and len({h.surrogate_normal for h in hits}) == 130
+    done = {r.id: r.redacted for r in pii.redact(df, "id", "text", names).collect()}
+    assert done == {h.id: f"[ADDRESS {h.surrogate}]" for h in hits}
