@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 
 SMALL = 3_000  # nodes up to which they are moved one by one
@@ -170,17 +171,11 @@ def ward(x: np.ndarray, k: int) -> np.ndarray:
     return np.unique(group, return_inverse=True)[1]
 
 
-def density_clusters(x: np.ndarray, least: int, neighbours: int | None = None) -> np.ndarray:
-    """Clusters of the rows by persistence of density, -1 for noise; a fit sample of up to some ten thousand rows.
-
-    The minimum spanning tree over mutual reachability is cut from the longest edge; a part of at least `least` rows is
-    a cluster as long as it lasts, and the clusters with most excess of mass are kept.
-    """
+def density_tree(x: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+    """Edges (length, a, b) of a minimum spanning tree of the rows over mutual reachability with k neighbours."""
     n = len(x)
-    if n < 2 or least < 2:
-        return np.zeros(n, np.int64) if least < 2 else np.full(n, -1)
     sq = (x * x).sum(axis=1)
-    k = min(n - 1, neighbours or least)
+    k = min(n - 1, k)
     core = np.concatenate([np.sqrt(np.maximum(np.partition(sq[s : s + 500, None] + sq[None] - 2 * x[s : s + 500] @ x.T, k, axis=1)[:, k], 0)) for s in range(0, n, 500)])
     near, at, left = np.full(n, np.inf), np.zeros(n, np.int64), np.ones(n, bool)
     v, tree = 0, []
@@ -191,6 +186,111 @@ def density_clusters(x: np.ndarray, least: int, neighbours: int | None = None) -
         near[better], at[better] = d[better], v
         v = int(np.where(left, near, np.inf).argmin())
         tree.append((float(near[v]), int(at[v]), v))
+    return tree
+
+
+def spread_density_tree(spark, x: np.ndarray, k: int, stored: int = 16) -> list[tuple[float, int, int]]:
+    """As density_tree, with the comparisons of rows in tasks.
+
+    Each row's nearest `stored` rows are kept. Parts of the tree grow by their shortest edge out, the largest part only
+    as others reach it. Rows whose stored neighbours do not settle that edge are compared with all rows again.
+    """
+    n = len(x)
+    k, m = min(n - 1, k), min(n - 1, stored)
+    sc = spark.sparkContext
+    parts = int(np.clip(n // 500, 1, 8 * sc.defaultParallelism))
+    held = sc.broadcast(x)
+
+    def lists(batches):
+        x = held.value
+        sq = (x * x).sum(axis=1)
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for s in range(0, len(ids), 64):
+                own = ids[s : s + 64]
+                d = np.maximum(sq[own][:, None] + sq[None] - 2 * x[own] @ x.T, 0)
+                d[np.arange(len(own)), own] = -1
+                at = np.argpartition(d, max(k, m), axis=1)[:, : max(k, m) + 1]
+                d = np.take_along_axis(d, at, 1)
+                order = np.argsort(d, axis=1, kind="stable")
+                at, d = np.take_along_axis(at, order, 1), np.sqrt(np.maximum(np.take_along_axis(d, order, 1), 0))
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(d[:, k]), pa.array(list(at[:, 1 : m + 1].astype(np.int32))), pa.array(list(d[:, 1 : m + 1]))], names=["i", "core", "at", "d"])
+
+    t = spark.range(0, n, 1, parts).mapInArrow(lists, "i long, core double, at array<int>, d array<double>").toArrow().sort_by("i")
+    core = t["core"].to_numpy()
+    at, d = (np.asarray(t[c].combine_chunks().flatten()).reshape(n, m) for c in ("at", "d"))
+    reach = np.maximum(np.maximum(d, core[:, None]), core[at])
+    bound = np.maximum(core, d[:, -1]) if m < n - 1 else np.full(n, np.inf)  # no row that is not stored is nearer
+    del t, d
+
+    def scan(todo: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sent = sc.broadcast((todo, part, core))
+
+        def run(batches):
+            x, (todo, part, core) = held.value, sent.value
+            sq = (x * x).sum(axis=1)
+            for b in batches:
+                place = b.column(0).to_numpy()
+                for s in range(0, len(place), 64):
+                    own = todo[place[s : s + 64]]
+                    w = np.sqrt(np.maximum(sq[own][:, None] + sq[None] - 2 * x[own] @ x.T, 0))
+                    w = np.maximum(np.maximum(w, core[None]), core[own][:, None])
+                    w[part[own][:, None] == part[None]] = np.inf
+                    to = w.argmin(axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(place[s : s + 64]), pa.array(to), pa.array(w[np.arange(len(own)), to])], names=["p", "to", "w"])
+
+        t = spark.range(0, len(todo), 1, int(np.clip(len(todo) // 64, 1, parts))).mapInArrow(run, "p long, to long, w double").toArrow().sort_by("p")
+        sent.destroy()
+        return t["to"].to_numpy(), t["w"].to_numpy()
+
+    a, b, tree = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    rows = np.arange(n)
+    while len(tree) < n - 1:
+        part = _connected(n, a, b)
+        count = np.bincount(part)
+        grows = np.ones(len(count), bool)
+        grows[count.argmax()] = False
+        out = np.where(part[at] != part[:, None], reach, np.inf)
+        best = out.argmin(axis=1)
+        w, to = out[rows, best], at[rows, best].astype(np.int64)
+        least, floor = np.full(len(count), np.inf), np.full(len(count), np.inf)
+        np.minimum.at(least, part, w)
+        np.minimum.at(floor, part, bound)
+        sure = grows & (least <= floor) & np.isfinite(least)
+        if not sure.any():
+            todo = np.flatnonzero(grows[part] & (bound < least[part]))
+            to[todo], w[todo] = scan(todo, part)
+            sure = grows
+        order = np.lexsort((to, rows, w, part))
+        first = order[np.r_[True, part[order][1:] != part[order][:-1]]]
+        first = first[sure[part[first]]]
+        root = list(range(len(count)))
+        new = []
+        for i in first[np.argsort(w[first], kind="stable")].tolist():
+            p, q = int(part[i]), int(part[to[i]])
+            while root[p] != p:
+                root[p] = p = root[root[p]]
+            while root[q] != q:
+                root[q] = q = root[root[q]]
+            if p != q:
+                root[p] = q
+                new.append((float(w[i]), i, int(to[i])))
+        tree += new
+        a, b = np.r_[a, [e[1] for e in new]].astype(np.int64), np.r_[b, [e[2] for e in new]].astype(np.int64)
+    held.destroy()
+    return tree
+
+
+def density_clusters(x: np.ndarray, least: int, neighbours: int | None = None, tree: list[tuple[float, int, int]] | None = None) -> np.ndarray:
+    """Clusters of the rows by persistence of density, -1 for noise; without a given tree, some ten thousand rows.
+
+    The minimum spanning tree over mutual reachability is cut from the longest edge; a part of at least `least` rows is
+    a cluster as long as it lasts, and the clusters with most excess of mass are kept.
+    """
+    n = len(x)
+    if n < 2 or least < 2:
+        return np.zeros(n, np.int64) if least < 2 else np.full(n, -1)
+    tree = density_tree(x, neighbours or least) if tree is None else tree
     tree.sort()
     parent = list(range(2 * n - 1))
     child: dict[int, tuple[int, int, float]] = {}

@@ -291,12 +291,7 @@ def graph_communities(spark, sf):
 
 @query()
 def density_topics(spark, sf):
-    import numpy as np
-
-    t = corpus.hash_sample(_vectors(spark, sf).where("exists(vec, x -> x <> 0)"), "vec_id", 3000).orderBy("vec_id").toArrow()  # a fit sample is what this operator takes
-    x = np.array(t["vec"].combine_chunks().flatten(), np.float64).reshape(t.num_rows, -1)
-    labels = community.density_clusters(x / np.linalg.norm(x, axis=1, keepdims=True), 5, 2)
-    return spark.createDataFrame(list(zip(t["vec_id"].to_pylist(), map(int, labels), strict=True)), "vec_id long, topic int")
+    return batch.density_topics(_vectors(spark, sf), "vec_id", "vec", 5, 2).withColumnRenamed("id", "vec_id")
 
 
 @query()

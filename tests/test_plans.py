@@ -104,3 +104,20 @@ def test_cooccurrence_counts_pairs(spark):
     cents = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.8, 0.6])], "topic int, centroid array<double>")
     df = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None)], "id long, v array<float>")
     assert [tuple(r) for r in topics.cooccurrence(df, "id", "v", cents, 0.4, 0.1).collect()] == [(0, 1, 1, 0.5, 0.8)]
+
+
+def test_density_topics_of_all_vectors(spark):
+    import numpy as np
+
+    from lumbung.operators import community
+
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=8) + 0.1 * rng.normal(size=(60, 8)) for _ in range(5)] + [rng.normal(size=(60, 8)), np.ones((30, 8))])
+    for stored in (1, 3, 16):
+        tree, want = community.spread_density_tree(spark, x, 3, stored), community.density_tree(x, 3)
+        assert np.allclose(sorted(w for w, _, _ in tree), sorted(w for w, _, _ in want), atol=1e-7)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(900, None), (901, [0.0] * 8)], "id long, vec array<double>")
+    for sample in (120, 1000):
+        got = {r.id: r.topic for r in batch.density_topics(df, "id", "vec", 5, 2, batch.Settings(fit_sample=sample)).collect()}
+        assert set(got) == set(range(len(x))) and None not in got.values()
+        assert sum(got[i] >= 0 for i in range(300)) > 200
