@@ -54,7 +54,7 @@ def page(rows: DataFrame, size: int, after: tuple | None, order: tuple[str, str]
     a, b = (F.col(c) for c in order)
     if after is not None:
         x, y = (F.lit(v) for v in after)
-        rows = rows.where((a > x) | ((a == x) & (b > y)) | a.isNull())
+        rows = rows.where(a.isNull() & (b > y) if after[0] is None else (a > x) | ((a == x) & (b > y)) | a.isNull())
     return rows.orderBy(a.asc_nulls_last(), b.asc_nulls_last()).limit(size)
 
 

@@ -94,3 +94,15 @@ def test_cluster_reports(spark):
         report.cluster_sizes(spark.range(2))
     both = spark.createDataFrame([("b", 3), ("a", 3), ("c", 1)], "path string, n_docs_clustered long")
     assert report.headline(both).first().path == "a"
+
+
+def test_pages_go_through_null_keys_to_the_end(spark):
+    rows = [(i if i < 4 else None, i) for i in range(17)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(3)
+    got, after = [], None
+    for _ in range(10):
+        page = [tuple(r) for r in sources.page(df, 5, after, ("a", "b")).collect()]
+        if not page:
+            break
+        got, after = got + page, page[-1]
+    assert got == rows
