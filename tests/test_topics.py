@@ -104,3 +104,17 @@ def test_keyword_terms(spark):
     assert [r[0] for r in df.select(keywords.words(df.t, ["dan"]).alias("w")).select(keywords.with_pairs(F.col("w"))).collect()] == [["harga", "bensin", "naik", "harga bensin", "bensin naik"], [], ["satu"], None]
     empty = spark.createDataFrame([], "topic int, t string")
     assert keywords.ctfidf(keywords.term_counts(empty, "topic", "t")).count() == 0
+
+
+def test_too_many_topics_are_refused(spark, monkeypatch):
+    from lumbung.plans import batch
+
+    monkeypatch.setattr(topics, "MOST_TOPICS", 2)
+    df = spark.createDataFrame([(i, i, [1.0, float(i)]) for i in range(3)], "id long, topic int, vec array<double>")
+    cents = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(3)], "topic int, centroid array<double>")
+    edges = spark.createDataFrame([], "topic_a int, topic_b int, w double")
+    with pytest.raises(ValueError):
+        topics.own_similarity(df, "id", "topic", "vec", cents)
+    with pytest.raises(ValueError):
+        batch.meta_topics(cents, edges, "w")
+    assert topics.own_similarity(df, "id", "topic", "vec", cents.where("topic < 2")).count() == 2
