@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import distinctive_terms, format_copies, language, leaked_items, pii, reading_level, similar_vectors, similarity_clusters, source_mixture
+from lumbung.llm.sql import oracle_sql  # noqa: F401
 from lumbung.session import spread
 from lumbung.session import table as read
 
@@ -113,7 +114,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "eval_items").select("item_id", "task").dropDuplicates(["item_id"])
-    per = _leaks(spark, sf).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("runs").alias("most_runs"), F.max("score").alias("best_score"))
+    per = _leaks(spark, sf).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("runs").alias("most_runs"))
     return items.join(per, "item_id", "left").fillna(0, ["documents", "most_runs"])
 
 
@@ -157,6 +158,3 @@ def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -1,6 +1,6 @@
 import random
 
-from lumbung.llm.format_copies import Trie, copies, messages
+from lumbung.llm.format_copies import Trie, bucket_name, copies, messages, radix_splits
 
 LONG = "x " * 60_000
 ROWS = [
@@ -33,7 +33,8 @@ def rows(df):
 def test_copies(spark):
     df = spark.createDataFrame(ROWS, "id long, text string")
     assert rows(copies(df, "id", "text")) == FOUND
-    assert rows(messages(df, "id", "text")) == {(10, 2), (20, 4), (50, 2)}
+    assert rows(messages(df, "id", "text")) == {(10, 2), (12, 1), (20, 4), (24, 1), (30, 2), (50, 2), (60, 2)}
+    assert rows(messages(df, "id", "text", 25)) == {(10, 2), (12, 1), (20, 4), (24, 1), (50, 2), (60, 2)}
 
 
 def test_clashing_columns_and_names(spark):
@@ -61,6 +62,19 @@ def test_small_buckets_and_hot_group(spark):
     df = spark.createDataFrame(data, "id long, text string").repartition(5)
     for capacity, split in ((20_000, 200_000), (3, 7)):
         assert rows(copies(df, "id", "text", capacity=capacity, split_rows=split)) == want
+        got = {r.first_id: r.copies for r in messages(df, "id", "text", capacity=capacity, split_rows=split).collect()}
+        assert got == {i: 1 + sum(a == i for a, _ in want) for i in first.values()}
+
+
+def test_a_long_template_is_skipped_at_once(spark):
+    head = b"iklan" * 100
+    keys = [head + str(i).encode() for i in range(300)] + [head, b"lain", b""]
+    splits = radix_splits(spark.createDataFrame([(bytearray(k),) for k in keys], "canon binary"), 40)
+    assert len({len(k) for k in splits}) <= 3 and max(splits.values()) <= len(head) + 4
+    names = [bucket_name(splits, k) for k in keys]
+    assert max(names.count(n) for n in set(names)) <= 40 and all(k.startswith(n) for k, n in zip(keys, names, strict=True))
+    data = [(i, k.decode()) for i, k in enumerate(keys + keys[5:9])]
+    assert rows(copies(spark.createDataFrame(data, "id long, text string"), "id", "text", capacity=10)) == {(5 + j, len(keys) + j) for j in range(4)}
 
 
 def test_trie_keeps_every_key():
