@@ -1,129 +1,274 @@
 """Evaluation items that leaked into a corpus.
 
-The items form an inverted index with BM25 weights, cut into blocks of items with the block's greatest weight for each
-term. Every passage of every document is a query. The threshold of an item is the least score of any passage that holds
-a run of its words of the asked length, so nothing that holds one is lost; a block whose greatest weights do not reach
-it is skipped, the others are scored. What reaches the threshold is verified word by word.
+The items are turned into a table of BM25 weights by Spark; shards of it of a bounded size become inverted indexes whose
+postings lie in blocks of neighbouring items with the greatest weight of each. Every passage of every document is a query. An item's threshold
+is the least score of any passage that holds a run of its words of the asked length, so nothing that holds one is lost:
+terms whose greatest weights together stay below it open no list, a block of items for which the greatest weights of
+all terms stay below it is skipped, and a score is given up as soon as the terms left cannot lift it. What reaches the
+threshold is verified word by word, apart for the question and the answer of an item that has both.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.session import stage
+
 TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 WORD = re.compile(r"[^\W_]+")
+ASKED = re.compile(r"[?？](?=.*[^\W_])", re.S)
 K1, B = 1.2, 0.75
 EDGE = 1 - 1e-5
+SPAN = 8  # entries whose postings of a term are a block
+PASSAGES = 4096  # passages that are looked up at once
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(TAG.sub(" ", text).casefold() if "<" in text else text.casefold())
 
 
-class Items:
-    """Inverted index of evaluation items: BM25 weight of each term for each item, relative to the item's threshold."""
-
-    def __init__(self, items: list[tuple[int, str]], run: int, block: int = 4) -> None:
-        self.run, self.width = run, run + run // 2
-        kept = sorted((i, w) for i, w in ((i, words_of(t)) for i, t in items) if len(w) >= run)
-        kept.sort(key=lambda x: (x[1], x[0]))
-        self.ids = [i for i, _ in kept]
-        self.vocabulary: dict[str, int] = {}
-        coded = [[self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws] for _, ws in kept]
-        n, v = len(coded), len(self.vocabulary)
-        tf = np.zeros((n, v))
-        for i, c in enumerate(coded):
-            np.add.at(tf[i], c, 1)
-        df = (tf > 0).sum(axis=0)
-        length = tf.sum(axis=1, keepdims=True)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        score = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(length.mean(), 1) if n else 1))
-        self.grams = []
-        for i, c in enumerate(coded):
-            runs = [tuple(c[j : j + run]) for j in range(len(c) - run + 1)]
-            score[i] /= min(sum(score[i, t] for t in set(r)) for r in runs)
-            self.grams.append(set(runs))
-        self.block = block
-        self.blocks = -(-n // block)
-        full = np.zeros((self.blocks * block, v + 1), np.float32)  # the last term stands for all words of no item
-        full[:n, :v] = score
-        self.weights = np.ascontiguousarray(full.T).reshape(v + 1, self.blocks, block)
-        self.greatest = self.weights.max(axis=2)
-
-    def leaks(self, texts: list[str | None]) -> list[tuple[int, int, int, float]]:
-        """(text, item, runs found, greatest score) for each text and item that share a run of words."""
-        get, run, width, none = self.vocabulary.get, self.run, self.width, len(self.vocabulary)
+def code(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from start[i] to stop[i], and the i of each."""
+    n = stop - start
+    owner = np.repeat(np.arange(len(n)), n)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + start[owner], owner
+
+
+class Index:
+    """Inverted index of a shard: for each term its postings in order of the entry, in blocks of SPAN entries with their greatest weight.
+
+    items, words, asked: of each entry its item, its words as codes and how many of them are the question (0: none).
+    owner, term, weight: the postings, weights relative to the entry's threshold.
+    """
+
+    def __init__(self, run: int, items: np.ndarray, words: list[np.ndarray], asked: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
+        self.run, self.width, self.items, self.asked = run, run + run // 2, items, asked
+        order = np.lexsort((owner, term))
+        owner, term, weight = owner[order].astype(np.int64), term[order], weight[order].astype(np.float32)
+        self.terms, at, which = np.unique(term, return_index=True, return_inverse=True)
+        self.start = np.r_[at, len(term)].astype(np.int64)
+        self.key = which * np.int64(max(1, len(items))) + owner
+        self.weight = weight
+        self.spans = -(-max(1, len(items)) // SPAN)
+        self.block, first = np.unique(which * np.int64(self.spans) + owner // SPAN, return_index=True)
+        self.greatest = np.maximum.reduceat(weight, first) if len(weight) else weight
+        self.first_block = np.searchsorted(self.block, np.arange(len(self.terms) + 1) * np.int64(self.spans))
+        self.bound = np.r_[np.maximum.reduceat(weight, self.start[:-1]) if len(weight) else weight, 0.0].astype(np.float64)
+        self.words = [np.searchsorted(self.terms, w).astype(np.int32) for w in words]
+        self.memo: dict[str, int] = {}
+        self.grams: dict[int, dict] = {}
+        self.opened = self.skipped = 0  # blocks
+
+    def __getstate__(self):
+        return self.__dict__ | {"memo": {}, "grams": {}}
+
+    def numbers(self, words: list[str]) -> list[int]:
+        """The place of each word among the terms, len(terms) for a word of no item."""
+        memo, none = self.memo, len(self.terms)
+        new = [w for w in dict.fromkeys(words) if w not in memo]
+        if new:
+            if len(memo) > 500_000:
+                memo.clear()
+                new = list(dict.fromkeys(words))
+            codes = np.array([code(w) for w in new], np.int64)
+            at = np.minimum(np.searchsorted(self.terms, codes), max(0, none - 1))
+            memo.update(zip(new, np.where(self.terms[at] == codes, at, none).tolist() if none else [none] * len(new), strict=True))
+        return [memo[w] for w in words]
+
+    def candidates(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, entry, score) of all pairs that reach the threshold; passages are rows of term numbers."""
+        none, n = len(self.terms), len(self.items)
+        terms = np.sort(passages, axis=1)
+        terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = none
+        rows = np.flatnonzero(self.bound[terms].sum(axis=1) >= EDGE)
+        terms = terms[rows]
+        bound = self.bound[terms]
+        order = np.argsort(bound, axis=1, kind="stable")
+        terms, bound = np.take_along_axis(terms, order, 1), np.take_along_axis(bound, order, 1)
+        total = bound.sum(axis=1)
+        p, j = np.nonzero((np.cumsum(bound, axis=1) >= EDGE) & (terms < none))
+        t = terms[p, j]
+        block, of = _ranges(self.first_block[t], self.first_block[t + 1])
+        pairs = np.unique(p[of] * np.int64(self.spans) + self.block[block] % self.spans)
+        p, span = pairs // self.spans, pairs % self.spans
+        p, span, _ = self._lifted(terms, bound, total, p, span, self.spans, self.block, self.greatest)
+        self.opened += len(p)
+        self.skipped += len(pairs) - len(p)
+        e = (span[:, None] * SPAN + np.arange(SPAN)).ravel()
+        p, e = np.repeat(p, SPAN)[e < n], e[e < n]
+        p, e, score = self._lifted(terms, bound, total, p, e, n, self.key, self.weight)
+        return rows[p], e, score
+
+    def _lifted(self, terms, bound, total, p, at, width, keys, values):
+        """The pairs of a passage and an entry, or span of entries, whose summed values reach the threshold, and the sums.
+
+        Terms are added from the greatest bound down; a pair is given up when the terms left cannot lift it any more.
+        """
+        none, sums, left = len(self.terms), np.zeros(len(p)), total[p]
+        for j in range(terms.shape[1] - 1, -1, -1):
+            t = terms[p, j]
+            want = t.astype(np.int64) * width + at
+            place = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            sums = sums + np.where((t < none) & (keys[place] == want), values[place], 0.0)
+            left = left - bound[p, j]
+            alive = sums + left >= EDGE
+            p, at, sums, left = p[alive], at[alive], sums[alive], left[alive]
+        return p, at, sums
+
+    def runs_of(self, entry: int) -> dict[tuple, list[int]]:
+        known = self.grams.get(entry)
+        if known is None:
+            if len(self.grams) > 50_000:
+                self.grams.clear()
+            known, w = defaultdict(list), self.words[entry].tolist()
+            for i in range(len(w) - self.run + 1):
+                known[tuple(w[i : i + self.run])].append(i)
+            self.grams[entry] = known
+        return known
+
+    def leaks(self, texts: list[str | None]) -> list[tuple]:
+        """(text, item, runs, score, covered, question, answer) for each text and item that share a run of words."""
+        run, width, none = self.run, self.width, len(self.terms)
         flat: list[int] = []
         owner, start = [], []
         for t, text in enumerate(texts):
-            codes = [get(w, none) for w in words_of(text)] if text else []
-            if len(codes) < run:
+            words = self.numbers(words_of(text)) if text else []
+            if len(words) < run:
                 continue
             base = len(flat)
-            flat += codes
-            at = range(base, base + len(codes) - run + 1, width - run + 1)
+            flat += words
+            at = range(base, base + len(words) - run + 1, width - run + 1)
             start += at
             owner += [t] * len(at)
             flat += [none] * width
-        if not start or not self.ids:
+        if not start or not none:
             return []
         flat_a, start_a = np.array(flat, np.int32), np.array(start)
-        passages = flat_a[start_a[:, None] + np.arange(width)]
-        known = np.flatnonzero((passages != none).sum(axis=1) >= run)
+        inside = np.r_[0, np.cumsum(flat_a != none)]
+        known = np.flatnonzero(inside[start_a + width] - inside[start_a] >= run)
         found: dict[tuple[int, int], list] = {}
-        for k in range(0, len(known), 4096):
-            rows = known[k : k + 4096]
-            terms = np.sort(passages[rows], axis=1)
-            terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = none
-            bound = np.zeros((len(rows), self.blocks), np.float32)
-            for j in range(width):
-                bound += self.greatest[terms[:, j]]
-            p, b = np.nonzero(bound >= EDGE)
-            if not len(p):
-                continue
-            score = np.zeros((len(p), self.block), np.float32)
-            for j in range(width):
-                score += self.weights[terms[p, j], b]
-            q, i = np.nonzero(score >= EDGE)
-            for row, item, s in zip(rows[p[q]].tolist(), (b[q] * self.block + i).tolist(), score[q, i].tolist(), strict=True):
-                grams, words = self.grams[item], passages[row].tolist()
-                hits = sum(tuple(words[j : j + run]) in grams for j in range(width - run + 1))
+        for k in range(0, len(known), PASSAGES):
+            rows = known[k : k + PASSAGES]
+            passages = flat_a[start_a[rows][:, None] + np.arange(width)]
+            for p, entry, s in zip(*(x.tolist() for x in self.candidates(passages)), strict=True):
+                grams, words = self.runs_of(entry), passages[p].tolist()
+                hits = [g for i in range(width - run + 1) if (g := tuple(words[i : i + run])) in grams]
                 if hits:
-                    e = found.setdefault((owner[row], item), [0, 0.0])
-                    e[0] += hits
+                    e = found.setdefault((owner[rows[p]], entry), [0, 0.0, set()])
+                    e[0] += len(hits)
                     e[1] = max(e[1], s)
-        return [(t, self.ids[i], n, s) for (t, i), (n, s) in found.items()]
+                    e[2].update(i for g in hits for i in grams[g])
+        out = []
+        for (t, entry), (n, s, places) in found.items():
+            size, asked = len(self.words[entry]), int(self.asked[entry])
+            held = np.zeros(size, bool)
+            for i in places:
+                held[i : i + run] = True
+            parts = (float(held[:asked].mean()), float(held[asked:].mean())) if 0 < asked < size else (None, None)
+            out.append((t, int(self.items[entry]), n, s, float(held.mean()), *parts))
+        return out
+
+
+INDEXED = "entry long, item long, asked int, words array<long>, terms array<long>, weights array<float>"
+
+
+def _tokenised(run: int):
+    def go(batches):
+        for b in batches:
+            rows = []
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                if len(words) >= run:
+                    m = ASKED.search(text)
+                    rows.append((item, len(words_of(text[: m.end()])) if m else 0, [code(w) for w in words]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.list_(pa.int64())))], names=["item", "asked", "words"])
+
+    return go
+
+
+def _relative(run: int):
+    """Weights divided by the entry's threshold, the least sum of distinct terms' weights in any run of its words."""
+
+    def go(batches):
+        for b in batches:
+            words, pairs = b.column("words").to_pylist(), b.column("pairs").to_pylist()
+            terms, weights = [], []
+            for ws, ps in zip(words, pairs, strict=True):
+                of = {p["w"]: p["weight"] for p in ps}
+                least = min(sum(of[w] for w in set(ws[i : i + run])) for i in range(len(ws) - run + 1))
+                terms.append(list(of))
+                weights.append([x / least for x in of.values()])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("entry", "item", "asked", "words")), pa.array(terms, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.float32()))], names=["entry", "item", "asked", "words", "terms", "weights"])
+
+    return go
+
+
+def weighed(items: DataFrame, item_col: str, item_text_col: str, run: int) -> DataFrame:
+    """The items of at least `run` words with the BM25 weight of each of their terms, as a written table."""
+    rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text <> ''")
+    rows = rows.mapInArrow(_tokenised(run), "item long, asked int, words array<long>").distinct().withColumn("entry", F.monotonically_increasing_id())
+    known = stage(rows, "items")
+    of = known.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"))
+    df = known.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    tf = known.select("entry", F.size("words").alias("length"), F.explode("words").alias("w")).groupBy("entry", "length", "w").agg(F.count("*").alias("tf"))
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+    pairs = tf.join(df, "w").crossJoin(F.broadcast(of)).groupBy("entry").agg(F.collect_list(F.struct("w", weight.alias("weight"))).alias("pairs"))
+    return stage(known.join(pairs, "entry").mapInArrow(_relative(run), INDEXED), "index")
+
+
+def load(rows: pa.Table, run: int) -> Index:
+    terms, words = rows["terms"].combine_chunks(), rows["words"].combine_chunks()
+    size = terms.value_lengths().to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, np.int64)
+    cut = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))[:-1] if len(rows) else []
+    flat = words.flatten().to_numpy(zero_copy_only=False)
+    return Index(run, rows["item"].to_numpy(), np.split(flat, cut) if len(rows) else [], rows["asked"].to_numpy(), np.repeat(np.arange(len(size)), size), terms.flatten().to_numpy(zero_copy_only=False), rows["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
+
+
+FOUND = "id long, item_id long, runs long, score double, covered double, question double, answer double"
 
 
-def _query(index: Items):
+def _query(index):
     def run(batches):
         for b in batches:
             keys = b.column(0).to_pylist()
-            rows = [(keys[t], i, n, s) for t, i, n, s in index.leaks(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["id", "item_id", "runs", "score"])
+            rows = [(keys[r[0]], *r[1:]) for r in index.value.leaks(b.column(1).to_pylist())]
+            names, kinds = zip(*(x.split() for x in FOUND.split(", ")), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64() if k == "long" else pa.float64()) for c, k in enumerate(kinds)], names=names)
 
     return run
 
 
-def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text_col: str, run: int = 8, shard: int = 2_000) -> DataFrame:
-    """(id, item_id, runs, score): documents that hold at least `run` consecutive words of an item, in order.
+def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text_col: str, run: int = 8, most_postings: int = 8_000_000) -> DataFrame:
+    """(id, item_id, runs, score, covered, question, answer): documents that hold at least `run` consecutive words of an item.
 
     runs is the number of places where such a run of `run` words starts, score the greatest BM25 score of a passage of
-    the document relative to the item's threshold. Words are runs of letters and digits without case; markup tags are
-    ignored. Null and short texts hold and are nothing. A repeated document or item counts once. Items are indexed in
-    shards of at most `shard`, each of which the corpus is queried against, so any number of items is served.
+    the document relative to the item's threshold, covered the share of the item's words that its runs hold; question
+    and answer are that share of the words up to and after the first question mark, null for items without both. Words
+    are runs of letters and digits without case; markup tags are ignored. Null and short texts hold and are nothing. A
+    repeated document or item counts once. The index of at most `most_postings` postings (some 100,000 items of 80
+    words) is a broadcast of a checked size, for one pass over the corpus; more items are served in further passes.
     """
-    known = items.select(F.col(item_col).cast("long"), F.col(item_text_col)).dropna().distinct().collect()
-    known.sort()
+    index = weighed(items, item_col, item_text_col, run)
+    sc = corpus.sparkSession.sparkContext
+    postings = index.agg(F.sum(F.size("terms"))).first()[0] or 0
+    shards = -(-postings // most_postings) or 1
     docs = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text <> ''")
     out = None
-    for k in range(0, max(1, len(known)), shard):
-        index = Items([(r[0], r[1]) for r in known[k : k + shard]], run)
-        part = docs.mapInArrow(_query(index), "id long, item_id long, runs long, score double")
+    for k in range(shards):
+        rows = index.where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == k).orderBy("item", "entry").toArrow()
+        part = docs.mapInArrow(_query(sc.broadcast(load(rows, run))), FOUND)
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("id", "item_id").agg(F.max("runs").alias("runs"), F.max(F.round("score", 4)).alias("score"))
+    most = [F.max(c).alias(c) for c in ("runs", "covered", "question", "answer")]
+    return out.groupBy("id", "item_id").agg(F.max(F.round("score", 4)).alias("score"), *most)

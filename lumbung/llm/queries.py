@@ -112,6 +112,10 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf).select(F.col("id").alias("doc_id"), "item_id")
 
 
+def p8_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf).select(F.col("id").alias("doc_id"), "item_id", "runs", F.round("covered", 6).alias("covered"))
+
+
 def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "eval_items").select("item_id", "task").dropDuplicates(["item_id"])
     per = _leaks(spark, sf).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("runs").alias("most_runs"))

@@ -82,6 +82,9 @@ LEAKS = f"""docs AS (SELECT DISTINCT doc_id, {WORDS} AS ws FROM documents WHERE
     hits AS (SELECT doc_id, item_id, count(*) AS runs FROM d JOIN e USING (g) GROUP BY doc_id, item_id)"""
 P8_FOUND = f"WITH {LEAKS} SELECT doc_id, item_id FROM hits"
 P8_ITEMS = f"WITH {LEAKS} SELECT item_id, any_value(task) AS task, count(doc_id) AS documents, coalesce(max(runs), 0) AS most_runs FROM eval_items LEFT JOIN hits USING (item_id) GROUP BY item_id"
+P8_LEAKS = f"""WITH {LEAKS}, places AS (SELECT item_id, i, array_to_string(ws[i:i + 7], ' ') AS g, len(ws) AS size FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM items)),
+    held AS (SELECT DISTINCT doc_id, item_id, size, unnest(range(places.i, places.i + 8)) AS place FROM d JOIN places USING (g)), share AS (SELECT doc_id, item_id, round(count(*) / any_value(size), 6) AS covered FROM held GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, runs, covered FROM hits JOIN share USING (doc_id, item_id)"""
 
 # ---- source mixture: words and marks as tokens, as any common way to count them gives the same sources
 
@@ -105,5 +108,5 @@ P10_FOUND = rf"""WITH d AS (SELECT doc_id, regexp_extract_all(regexp_replace(tex
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": P1_FOUND, "p1_messages": P1_MESSAGES, "p3_found": P3_FOUND, "p3_clusters": P3_CLUSTERS, "p5_found": P5_FOUND,
-        "p7_found": P7_FOUND, "p7_scores": P7_SCORES, "p8_found": P8_FOUND, "p8_items": P8_ITEMS, "p9_found": P9_FOUND, "p10_found": P10_FOUND,
+        "p7_found": P7_FOUND, "p7_scores": P7_SCORES, "p8_found": P8_FOUND, "p8_leaks": P8_LEAKS, "p8_items": P8_ITEMS, "p9_found": P9_FOUND, "p10_found": P10_FOUND,
     }

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lumbung.llm.leaked_items import Items, leaked, words_of
+from lumbung.llm.leaked_items import leaked, load, weighed, words_of
 
 
 def brute(docs, items, run):
@@ -19,8 +19,8 @@ def brute(docs, items, run):
     return out
 
 
-@pytest.mark.parametrize("shard", [2_000, 7])
-def test_against_brute_force(spark, shard):
+@pytest.mark.parametrize("postings", [8_000_000, 150])
+def test_against_brute_force(spark, postings):
     rng = random.Random(4)
     words = [f"k{i}" for i in range(40)]
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
@@ -35,7 +35,7 @@ def test_against_brute_force(spark, shard):
             parts += ["<p>" + ",\n".join(w[s : s + n]).upper() + "</p>", text(rng.randint(0, 30))]
         docs.append((d, " ".join(parts)))
     df, it = spark.createDataFrame(docs, "id long, text string"), spark.createDataFrame(items, "item long, t string")
-    got = leaked(df, "id", "text", it, "item", "t", shard=shard).collect()
+    got = leaked(df, "id", "text", it, "item", "t", most_postings=postings).collect()
     assert {(r.id, r.item_id) for r in got} == brute(docs, items, 8)
     assert all(r.score >= 0.999 and r.runs >= 1 for r in got)
 
@@ -49,4 +49,18 @@ def test_edges(spark):
     assert {(r.id, r.item_id, r.runs) for r in got} == {(4, 9, 2), (5, 9, 2)}
     assert leaked(df.where("false"), "id", "text", it, "item_id", "text").count() == 0
     assert leaked(df, "id", "text", it.where("false"), "item_id", "text").count() == 0
-    assert Items([], 8).leaks(["a"]) == []
+
+
+def test_blocks_are_skipped_and_parts_told_apart(spark):
+    rng = random.Random(5)
+    common, rare = [f"u{i}" for i in range(30)], [f"r{i}" for i in range(3000)]
+    text = lambda n: " ".join(rng.choice(common if rng.random() < 0.6 else rare) for _ in range(n))
+    items = [(i, text(rng.randint(20, 60))) for i in range(2000)] + [(5000, "apa warna langit pada siang hari yang cerah? langit tampak biru karena cahaya pendek paling banyak dihamburkan udara")]
+    index = load(weighed(spark.createDataFrame(items, "item long, t string"), "item", "t", 8).orderBy("item").toArrow(), 8)
+    docs = [text(80) + " " + " ".join(items[k][1].split()[4:14]) for k in range(0, 300, 3)]
+    docs += ["dia tahu langit tampak biru karena cahaya pendek paling banyak dihamburkan udara kata guru", "apa warna langit pada siang hari yang cerah"]
+    got = index.leaks(docs)
+    assert {(r[0], r[1]) for r in got} == brute(list(enumerate(docs)), items, 8)
+    assert index.skipped > 0 and index.opened > 0
+    parts = {r[0]: r[4:] for r in got if r[1] == 5000}
+    assert parts[100] == (11 / 19, 0.0, 1.0) and parts[101] == (8 / 19, 1.0, 0.0)
