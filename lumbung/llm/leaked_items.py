@@ -1,7 +1,7 @@
 """Evaluation items that leaked into a corpus.
 
 The items are turned into a table of BM25 weights by Spark; shards of it of a bounded size become inverted indexes whose
-postings lie in blocks of neighbouring items with the greatest weight of each. Every passage of every document is a query. An item's threshold
+postings lie in blocks of items of like thresholds with the greatest weight of each. Every passage of every document is a query. An item's threshold
 is the least score of any passage that holds a run of its words of the asked length, so nothing that holds one is lost:
 terms whose greatest weights together stay below it open no list, a block of items for which the greatest weights of
 all terms stay below it is skipped, and a score is given up as soon as the terms left cannot lift it. What reaches the
@@ -11,7 +11,6 @@ threshold is verified word by word, apart for the question and the answer of an
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from hashlib import blake2b
 
 import numpy as np
@@ -26,7 +25,8 @@ WORD = re.compile(r"[^\W_]+")
 ASKED = re.compile(r"[?？](?=.*[^\W_])", re.S)
 K1, B = 1.2, 0.75
 EDGE = 1 - 1e-5
-SPAN = 8  # entries whose postings of a term are a block
+SPANS = (512, 8, 1)  # neighbouring entries whose postings of a term are a block, from the coarsest level to single entries
+AT_ONCE = 500_000  # pairs of a passage and a span that are looked up at once
 PASSAGES = 4096  # passages that are looked up at once
 
 
@@ -46,7 +46,7 @@ def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Index:
-    """Inverted index of a shard: for each term its postings in order of the entry, in blocks of SPAN entries with their greatest weight.
+    """Inverted index of a shard: for each term the greatest weight in each span of entries, down to single entries.
 
     items, words, asked: of each entry its item, its words as codes and how many of them are the question (0: none).
     owner, term, weight: the postings, weights relative to the entry's threshold.
@@ -56,22 +56,35 @@ class Index:
         self.run, self.width, self.items, self.asked = run, run + run // 2, items, asked
         order = np.lexsort((owner, term))
         owner, term, weight = owner[order].astype(np.int64), term[order], weight[order].astype(np.float32)
-        self.terms, at, which = np.unique(term, return_index=True, return_inverse=True)
-        self.start = np.r_[at, len(term)].astype(np.int64)
-        self.key = which * np.int64(max(1, len(items))) + owner
-        self.weight = weight
-        self.spans = -(-max(1, len(items)) // SPAN)
-        self.block, first = np.unique(which * np.int64(self.spans) + owner // SPAN, return_index=True)
-        self.greatest = np.maximum.reduceat(weight, first) if len(weight) else weight
-        self.first_block = np.searchsorted(self.block, np.arange(len(self.terms) + 1) * np.int64(self.spans))
-        self.bound = np.r_[np.maximum.reduceat(weight, self.start[:-1]) if len(weight) else weight, 0.0].astype(np.float64)
-        self.words = [np.searchsorted(self.terms, w).astype(np.int32) for w in words]
+        self.terms, which = np.unique(term, return_inverse=True)
+        self.levels = []  # of each span size: number of spans, keys of the blocks by term and span, their greatest weights
+        for span in SPANS:
+            n = -(-max(1, len(items)) // span)
+            keys, first = np.unique(which * np.int64(n) + owner // span, return_index=True)
+            self.levels.append((n, keys, np.maximum.reduceat(weight, first) if len(weight) else weight))
+        n, keys, greatest = self.levels[0]
+        self.first = np.searchsorted(keys, np.arange(len(self.terms) + 1) * np.int64(n))
+        self.bound = np.r_[np.maximum.reduceat(greatest, self.first[:-1]) if len(weight) else weight, 0.0].astype(np.float64)
+        self.size = np.array([len(w) for w in words], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.words = np.searchsorted(self.terms, np.concatenate(words)).astype(np.int32) if words else np.zeros(0, np.int32)
+        place, entry = _ranges(self.begin, self.begin + self.size - run + 1)
+        runs = self._run_keys(self.words[place[:, None] + np.arange(run)], entry) if len(place) else np.zeros(0, np.uint64)
+        order = np.argsort(runs, kind="stable")
+        self.runs, self.places = runs[order], place[order].astype(np.int32)  # where each run of words stands
         self.memo: dict[str, int] = {}
-        self.grams: dict[int, dict] = {}
         self.opened = self.skipped = 0  # blocks
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}, "grams": {}}
+        return self.__dict__ | {"memo": {}}
+
+    @staticmethod
+    def _run_keys(words: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        key = entry.astype(np.uint64)
+        for j in range(words.shape[1]):
+            key = (key ^ words[:, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        return key
 
     def numbers(self, words: list[str]) -> list[int]:
         """The place of each word among the terms, len(terms) for a word of no item."""
@@ -88,7 +101,7 @@ class Index:
 
     def candidates(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, entry, score) of all pairs that reach the threshold; passages are rows of term numbers."""
-        none, n = len(self.terms), len(self.items)
+        none = len(self.terms)
         terms = np.sort(passages, axis=1)
         terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = none
         rows = np.flatnonzero(self.bound[terms].sum(axis=1) >= EDGE)
@@ -96,46 +109,59 @@ class Index:
         bound = self.bound[terms]
         order = np.argsort(bound, axis=1, kind="stable")
         terms, bound = np.take_along_axis(terms, order, 1), np.take_along_axis(bound, order, 1)
-        total = bound.sum(axis=1)
         p, j = np.nonzero((np.cumsum(bound, axis=1) >= EDGE) & (terms < none))
         t = terms[p, j]
-        block, of = _ranges(self.first_block[t], self.first_block[t + 1])
-        pairs = np.unique(p[of] * np.int64(self.spans) + self.block[block] % self.spans)
-        p, span = pairs // self.spans, pairs % self.spans
-        p, span, _ = self._lifted(terms, bound, total, p, span, self.spans, self.block, self.greatest)
-        self.opened += len(p)
-        self.skipped += len(pairs) - len(p)
-        e = (span[:, None] * SPAN + np.arange(SPAN)).ravel()
-        p, e = np.repeat(p, SPAN)[e < n], e[e < n]
-        p, e, score = self._lifted(terms, bound, total, p, e, n, self.key, self.weight)
-        return rows[p], e, score
-
-    def _lifted(self, terms, bound, total, p, at, width, keys, values):
-        """The pairs of a passage and an entry, or span of entries, whose summed values reach the threshold, and the sums.
+        size = np.cumsum(self.first[t + 1] - self.first[t])
+        cuts = np.searchsorted(size, np.arange(AT_ONCE, size[-1], AT_ONCE)) if len(size) else []
+        found = []
+        n, keys, _ = self.levels[0]
+        for own, of in zip(np.split(t, cuts), np.split(p, cuts), strict=True):
+            block, back = _ranges(self.first[own], self.first[own + 1])
+            pairs = np.unique(of[back] * np.int64(n) + keys[block] % n)
+            self._descend(0, terms, bound, pairs // n, pairs % n, found)
+        p, e, score = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        both, at = np.unique(p * np.int64(max(1, len(self.items))) + e, return_index=True)  # a passage whose terms were cut apart meets twice
+        return rows[p[at]], e[at], score[at]
+
+    def _descend(self, level, terms, bound, p, at, found: list) -> None:
+        """Keep the pairs of a passage and a span whose greatest weights reach the threshold, and go on with the span's parts.
 
         Terms are added from the greatest bound down; a pair is given up when the terms left cannot lift it any more.
         """
-        none, sums, left = len(self.terms), np.zeros(len(p)), total[p]
+        n, keys, values = self.levels[level]
+        none, sums, left, met = len(self.terms), np.zeros(len(p)), bound[p].sum(axis=1), len(p)
         for j in range(terms.shape[1] - 1, -1, -1):
             t = terms[p, j]
-            want = t.astype(np.int64) * width + at
+            want = t.astype(np.int64) * n + at
             place = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
             sums = sums + np.where((t < none) & (keys[place] == want), values[place], 0.0)
             left = left - bound[p, j]
             alive = sums + left >= EDGE
             p, at, sums, left = p[alive], at[alive], sums[alive], left[alive]
-        return p, at, sums
-
-    def runs_of(self, entry: int) -> dict[tuple, list[int]]:
-        known = self.grams.get(entry)
-        if known is None:
-            if len(self.grams) > 50_000:
-                self.grams.clear()
-            known, w = defaultdict(list), self.words[entry].tolist()
-            for i in range(len(w) - self.run + 1):
-                known[tuple(w[i : i + self.run])].append(i)
-            self.grams[entry] = known
-        return known
+        self.opened += len(p)
+        self.skipped += met - len(p)
+        if level == len(SPANS) - 1:
+            found.append((p, at, sums))
+            return
+        parts, below = SPANS[level] // SPANS[level + 1], self.levels[level + 1][0]
+        for s in range(0, len(p), max(1, AT_ONCE // parts)):
+            some = slice(s, s + max(1, AT_ONCE // parts))
+            e = (at[some, None] * parts + np.arange(parts)).ravel()
+            ok = e < below
+            self._descend(level + 1, terms, bound, np.repeat(p[some], parts)[ok], e[ok], found)
+
+    def verified(self, passages: np.ndarray, p: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each pair of a passage and an entry the runs of words that both have: the pair's number and the place in `words`."""
+        pair, place = [], []
+        for i in range(self.width - self.run + 1):
+            words = passages[p, i : i + self.run]
+            key = self._run_keys(words, e)
+            hit, of = _ranges(np.searchsorted(self.runs, key), np.searchsorted(self.runs, key, "right"))
+            at = self.places[hit].astype(np.int64)
+            same = (self.words[at[:, None] + np.arange(self.run)] == words[of]).all(axis=1) & (at >= self.begin[e[of]]) & (at < self.begin[e[of]] + self.size[e[of]])
+            pair.append((of[same] * (self.width + 1) + i))
+            place.append(at[same])
+        return np.concatenate(pair), np.concatenate(place)
 
     def leaks(self, texts: list[str | None]) -> list[tuple]:
         """(text, item, runs, score, covered, question, answer) for each text and item that share a run of words."""
@@ -161,26 +187,26 @@ class Index:
         for k in range(0, len(known), PASSAGES):
             rows = known[k : k + PASSAGES]
             passages = flat_a[start_a[rows][:, None] + np.arange(width)]
-            for p, entry, s in zip(*(x.tolist() for x in self.candidates(passages)), strict=True):
-                grams, words = self.runs_of(entry), passages[p].tolist()
-                hits = [g for i in range(width - run + 1) if (g := tuple(words[i : i + run])) in grams]
-                if hits:
-                    e = found.setdefault((owner[rows[p]], entry), [0, 0.0, set()])
-                    e[0] += len(hits)
-                    e[1] = max(e[1], s)
-                    e[2].update(i for g in hits for i in grams[g])
+            p, entry, score = self.candidates(passages)
+            pair, place = self.verified(passages, p, entry)
+            for q, at in zip(pair.tolist(), place.tolist(), strict=True):
+                k_, i = divmod(q, width + 1)
+                e = found.setdefault((owner[rows[p[k_]]], int(entry[k_])), [set(), 0.0, set()])
+                e[0].add((int(rows[p[k_]]), i))
+                e[1] = max(e[1], float(score[k_]))
+                e[2].add(at)
         out = []
         for (t, entry), (n, s, places) in found.items():
-            size, asked = len(self.words[entry]), int(self.asked[entry])
+            size, asked = int(self.size[entry]), int(self.asked[entry])
             held = np.zeros(size, bool)
             for i in places:
-                held[i : i + run] = True
+                held[i - self.begin[entry] : i - self.begin[entry] + run] = True
             parts = (float(held[:asked].mean()), float(held[asked:].mean())) if 0 < asked < size else (None, None)
-            out.append((t, int(self.items[entry]), n, s, float(held.mean()), *parts))
+            out.append((t, int(self.items[entry]), len(n), s, float(held.mean()), *parts))
         return out
 
 
-INDEXED = "entry long, item long, asked int, words array<long>, terms array<long>, weights array<float>"
+INDEXED = "entry long, item long, asked int, words array<long>, least double, terms array<long>, weights array<float>"
 
 
 def _tokenised(run: int):
@@ -203,13 +229,14 @@ def _relative(run: int):
     def go(batches):
         for b in batches:
             words, pairs = b.column("words").to_pylist(), b.column("pairs").to_pylist()
-            terms, weights = [], []
+            terms, weights, leasts = [], [], []
             for ws, ps in zip(words, pairs, strict=True):
                 of = {p["w"]: p["weight"] for p in ps}
                 least = min(sum(of[w] for w in set(ws[i : i + run])) for i in range(len(ws) - run + 1))
+                leasts.append(least)
                 terms.append(list(of))
                 weights.append([x / least for x in of.values()])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("entry", "item", "asked", "words")), pa.array(terms, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.float32()))], names=["entry", "item", "asked", "words", "terms", "weights"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("entry", "item", "asked", "words")), pa.array(leasts, pa.float64()), pa.array(terms, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.float32()))], names=["entry", "item", "asked", "words", "least", "terms", "weights"])
 
     return go
 
@@ -250,14 +277,14 @@ def _query(index):
     return run
 
 
-def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text_col: str, run: int = 8, most_postings: int = 8_000_000) -> DataFrame:
+def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text_col: str, run: int = 8, most_postings: int = 4_000_000) -> DataFrame:
     """(id, item_id, runs, score, covered, question, answer): documents that hold at least `run` consecutive words of an item.
 
     runs is the number of places where such a run of `run` words starts, score the greatest BM25 score of a passage of
     the document relative to the item's threshold, covered the share of the item's words that its runs hold; question
     and answer are that share of the words up to and after the first question mark, null for items without both. Words
     are runs of letters and digits without case; markup tags are ignored. Null and short texts hold and are nothing. A
-    repeated document or item counts once. The index of at most `most_postings` postings (some 100,000 items of 80
+    repeated document or item counts once. The index of at most `most_postings` postings (some 60,000 items of 80
     words) is a broadcast of a checked size, for one pass over the corpus; more items are served in further passes.
     """
     index = weighed(items, item_col, item_text_col, run)
@@ -267,7 +294,7 @@ def leaked(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame, item
     docs = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text <> ''")
     out = None
     for k in range(shards):
-        rows = index.where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == k).orderBy("item", "entry").toArrow()
+        rows = index.where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == k).orderBy("least", "entry").toArrow()
         part = docs.mapInArrow(_query(sc.broadcast(load(rows, run))), FOUND)
         out = part if out is None else out.unionByName(part)
     most = [F.max(c).alias(c) for c in ("runs", "covered", "question", "answer")]
