@@ -15,6 +15,9 @@ from lumbung.session import table as read
 COLUMNS = {"fetched_posts": ["post_id", "content", "lang"], "documents": ["doc_id", "text", "source"]}
 
 
+REGION = 1_000  # distinct word sets from which a space is cut into regions: the spaces here have some thousands
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table, the texts on all cores and without columns that no query here reads."""
     df = read(spark, sf, name)
@@ -51,7 +54,7 @@ def _topics(spark: SparkSession, sf: str) -> DataFrame:
 
 def _clusters(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, DataFrame]]:
     posts, topics = _posts(spark, sf), _topics(spark, sf)
-    return {"post": (similarity_clusters.clusters(posts, "0.6", 8), posts), "topic": (similarity_clusters.clusters(topics, "0.5"), topics)}
+    return {"post": (similarity_clusters.clusters(posts, "0.6", 8, REGION), posts), "topic": (similarity_clusters.clusters(topics, "0.5", 1, REGION), topics)}
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,6 +55,43 @@ def test_against_brute_force(spark, like, least, capacity):
     assert got == brute(rows, float(like), least)
 
 
+@pytest.mark.parametrize("capacity", [20_000, 10])
+def test_denser_clusters_against_brute_force(spark, capacity):
+    rows = made(5, 160, ["a"])
+    sets = {k: set(w) for _, k, w in rows}
+    near = {a: {b for b in sets if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]) - 1e-9} for a in sets}
+    core = {a for a in sets if len(near[a]) >= 4}
+    root = {}
+    for a in sorted(core):
+        if a not in root:
+            todo = [a]
+            while todo:
+                x = todo.pop()
+                if x not in root:
+                    root[x] = a
+                    todo += near[x] & core
+    groups = {}
+    for a in sets:
+        if near[a] & core:
+            groups.setdefault(root[a] if a in core else min(root[x] for x in near[a] & core), set()).add(a)
+    df = spark.createDataFrame(rows, "space string, key long, words array<string>")
+    got = {(r.first, r.key) for r in clusters(df, "0.6", 1, capacity, 4).collect()}
+    assert got == {(min(g), k) for g in groups.values() for k in g}
+
+
+def test_medoids_have_the_greatest_mean_similarity(spark):
+    rows = made(3, 120, ["a"])
+    df = spark.createDataFrame(rows, "space string, key long, words array<string>")
+    found = clusters(df, "0.6", 4)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.first, []).append(r.key)
+    sets = {k: set(w) for _, k, w in rows}
+    for r in describe(found, df, 1).collect():
+        mean = {k: sum(len(sets[k] & sets[m]) / (len(sets[k]) * len(sets[m])) ** 0.5 for m in groups[r.first]) / len(groups[r.first]) for k in groups[r.first]}
+        assert abs(mean[r.key] - r.typical) < 2e-6 and mean[r.key] >= max(mean.values()) - 2e-6
+
+
 def test_edges(spark):
     rows = [("a", 1, ["x", "y", "z"]), ("a", 2, ["x", "y", "z"]), ("a", 2, ["x", "y", "z"]), ("b", 3, ["x", "y", "z"]), (None, 4, ["x", "y", "z"]), ("a", None, ["x", "y", "z"]), ("a", 5, None), ("a", 6, []), ("a", 7, [f"w{i}" for i in range(20_000)]), ("a", 8, [f"w{i}" for i in range(20_001)])]
     df = spark.createDataFrame([(*r, "n", 1) for r in rows], "space string, key long, words array<string>, first string, n int")
