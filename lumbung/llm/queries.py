@@ -15,6 +15,7 @@ from lumbung.session import table as read
 COLUMNS = {"fetched_posts": ["post_id", "content", "lang"], "documents": ["doc_id", "text", "source"]}
 
 
+KEY = b"for tests only"  # of the surrogates; in use it is a secret
 REGION = 1_000  # distinct word sets from which a space is cut into regions: the spaces here have some thousands
 
 
@@ -35,12 +36,12 @@ def p1_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = pii.entities(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"))
+    found = pii.entities(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"), KEY)
     return found.select(F.col("id").alias("post_id"), "pii_type", "pii_text").distinct()
 
 
 def p2_redacted(spark: SparkSession, sf: str) -> DataFrame:
-    done = pii.redact(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"))
+    done = pii.redact(table(spark, sf, "fetched_posts"), "post_id", "content", table(spark, sf, "given_names"), KEY)
     return done.withColumnRenamed("id", "post_id")
 
 
