@@ -25,28 +25,38 @@ class Engine:
         return batch.run(posts, text_col, id_col, batch.Settings(**settings), self.embedder, self.detect)
 
     def cluster_chunks(self, posts: DataFrame, text_col: str, id_col: str, chunk_col: str, path: str, **settings) -> list[str]:
-        """Cluster and write every chunk that has no result below `path` yet; the chunks done now, those refused left out.
+        """Cluster and write every chunk that has no result below `path` yet; the chunks done now.
 
-        Chunks are a fixed size each, so their number is what the loop grows with; each is a distributed job.
+        Rows without a chunk number are one chunk, `none`. A chunk with too few texts is recorded with the reason in
+        `path`/refused and looked at again next time; any other error ends the run. Chunks are a fixed size each, so
+        their number is what the loop grows with; each is a distributed job.
         """
-        known = set()
-        try:
-            known = {r[0] for r in self.spark.read.json(f"{path}/done").select("chunk").distinct().collect()}
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        done = []
-        for chunk in sorted(str(r[0]) for r in posts.select(chunk_col).distinct().collect()):
+        known = {r[0] for r in self._rows(f"{path}/done", "chunk string").select("chunk").distinct().collect()}
+        done, name = [], F.coalesce(F.col(chunk_col).cast("string"), F.lit("none"))
+        for chunk in sorted(r[0] for r in posts.select(name).distinct().collect()):
             if chunk in known:
                 continue
             try:
-                result = self.cluster(posts.where(F.col(chunk_col).cast("string") == chunk), text_col, id_col, **settings)
-            except ValueError:
+                result = self.cluster(posts.where(name == chunk), text_col, id_col, **settings)
+            except batch.TooFewTexts as e:
+                self.spark.range(1).select(F.lit(chunk).alias("chunk"), F.lit(str(e)).alias("reason")).coalesce(1).write.mode("append").json(f"{path}/refused")
                 continue
             self.write(result, path, chunk)
             done.append(chunk)
         return done
 
+    def refused(self, path: str) -> DataFrame:
+        """(chunk, reason): the chunks below `path` that were refused and have no result."""
+        return self._rows(f"{path}/refused", "chunk string, reason string").distinct().join(self._rows(f"{path}/done", "chunk string"), "chunk", "left_anti")
+
+    def _rows(self, path: str, shape: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(shape).json(path)
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], shape)
+
     def write(self, result: batch.Batch, path: str, chunk: str) -> None:
         """Assignments and centroids as Parquet, topics and edges as CSV, metrics as JSON; the manifest comes last."""
         name = F.lit(chunk).alias("chunk")
@@ -79,9 +89,12 @@ class Engine:
         return merge.ranked_super_topics(members.join(one, ["project_id", "global_topic"], "left"), "project_id")
 
     def super_topics_of_tables(self, paths: list[str], top: int = 10) -> DataFrame:
-        """Ranked super topics of topic CSV files, by the embedded keyword lists, with usual names and first examples."""
-        rows = stage(sources.topic_tables(self.spark, paths).distinct().withColumn("id", F.xxhash64("source", "keywords", "name", "examples", "count")), "tables")
-        vecs = embed_texts(rows, "id", "keywords", self.embedder).dropDuplicates(["id"])
+        """Ranked super topics of topic CSV files, or of those in zip files, by the embedded keyword lists.
+
+        With usual names, and first examples in the order of the files and their rows. Equal rows all count.
+        """
+        rows = stage(sources.topic_tables(self.spark, paths).withColumnRenamed("place", "id"), "tables")
+        vecs = embed_texts(rows, "id", "keywords", self.embedder)
         members = stage(rows.join(merge.super_topics(vecs.select("id", F.col("vec").alias("centroid")), ["id"], top), "id"), "members")
         out = merge.ranked_super_topics(members, "source", "count")
         names, docs = merge.top_names(members, "name"), merge.first_examples(members, "id", "examples")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from lumbung.operators.skew import join_text
+from lumbung.session import stage
+
 Embedder = Callable[[list[str]], np.ndarray]
 Detector = Callable[[list[str]], tuple[list[str], list[float]]]
 
@@ -101,9 +105,64 @@ def no_detector(texts: list[str]) -> tuple[list[str], list[float]]:
     return ["und"] * len(texts), [0.0] * len(texts)
 
 
-def detector(name: str = "profile") -> Detector:
-    """A detector by name; an unknown one falls back to none."""
-    return profile_detector() if name == "profile" else no_detector
+def ngram_detector(samples: dict[str, list[str]], least: int = 1, high: int = 3) -> Detector:
+    """A detector fitted on labelled texts: naive Bayes over character n-grams of words, `und` for texts without any known.
+
+    The confidence is the posterior of the best language among all. The samples are a bounded list that the caller holds.
+    """
+    grams = lambda t: [f" {w} "[i : i + n] for w in re.findall(r"[^\W\d_]+", t.lower()) for n in range(1, high + 1) for i in range(len(w) + 3 - n)]
+    counts = {k: Counter(g for t in texts for g in grams(t)) for k, texts in sorted(samples.items())}
+    known = sorted({g for c in counts.values() for g, n in c.items() if n >= least})
+    place = {g: i for i, g in enumerate(known)}
+    table = np.array([[c[g] for g in known] for c in counts.values()], np.float64).reshape(len(counts), -1) + 0.5
+    logs = np.log(table / table.sum(axis=1, keepdims=True))
+    names = list(counts)
+
+    def detect(texts: list[str]) -> tuple[list[str], list[float]]:
+        codes, confs = [], []
+        for t in texts:
+            own = [place[g] for g in grams(t) if g in place]
+            if not own or len(own) * 2 < len(grams(t)):
+                codes.append("und")
+                confs.append(0.0)
+                continue
+            score = logs[:, own].sum(axis=1) / high  # the n-grams of one place depend on each other
+            p = np.exp(score - score.max())
+            codes.append(names[int(p.argmax())])
+            confs.append(round(float(p.max() / p.sum()), 3))
+        return codes, confs
+
+    return detect
+
+
+def detector(*backends: Callable[[], Detector] | str) -> Detector:
+    """The first backend that can be made, by name or as a factory; without any that can, none: every text is `und`.
+
+    Names are `profile` and `none`. A factory that raises ImportError, OSError or ValueError, because its package or its
+    model file is missing, is passed over, as is an unknown name.
+    """
+    for make in backends or ("profile",):
+        if make == "profile":
+            return profile_detector()
+        if callable(make):
+            try:
+                return make()
+            except (ImportError, OSError, ValueError):
+                continue
+    return no_detector
+
+
+def fasttext_detector(path: str) -> Detector:
+    """A detector of a fastText model file, if the package is there (ImportError) and the file too (ValueError)."""
+    import fasttext
+
+    model = fasttext.load_model(path)
+
+    def detect(texts: list[str]) -> tuple[list[str], list[float]]:
+        labels, probs = model.predict([t.replace("\n", " ") for t in texts])
+        return [x[0].removeprefix("__label__") for x in labels], [float(p[0]) for p in probs]
+
+    return detect
 
 
 def detect_language(text: Column, detect: Detector | None = None) -> Column:
@@ -123,5 +182,6 @@ def detect_language(text: Column, detect: Detector | None = None) -> Column:
 def detect_distinct(df: DataFrame, text_col: str, detect: Detector | None = None) -> DataFrame:
     """All rows with lang and lang_conf, each distinct text judged once and joined back."""
     found = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_t")).distinct().withColumn("_l", detect_language(F.col("_t"), detect))
-    out = df.join(found, df[text_col] == found["_t"], "left")
-    return out.withColumns({"lang": F.coalesce("_l.lang", F.lit("und")), "lang_conf": F.coalesce("_l.lang_conf", F.lit(0.0))}).drop("_t", "_l")
+    found = stage(found.select(F.col("_t").alias("_text"), "_l"), "languages")
+    out = join_text(df, text_col, found)
+    return out.withColumns({"lang": F.coalesce("_l.lang", F.lit("und")), "lang_conf": F.coalesce("_l.lang_conf", F.lit(0.0))}).drop("_l")

@@ -26,15 +26,26 @@ EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{1F1E6}-\x{1F1FF}\x{FE0F}]"
 STRETCHED = rf"({W})\1{{2,}}"
 TWICE = rf"(?<!{W})([a-z]{{3,}})2(?!{W})"
 
-#: A short list of frequent function words; a longer one can be read with load_stopwords().
-STOPWORDS = "ada agar aku akan atau dan dari dengan di dia ini itu jadi juga kalau kami kamu karena ke lagi masih mau nya oleh pada saya sudah supaya tapi tidak untuk wkwk ya yang".split()
+#: Frequent function words of Indonesian and its informal spelling; another list can be read with load_stopwords().
+STOPWORDS = (
+    "ada adalah adanya agar aja akan akhirnya aku anda antara apa apakah apalagi atas atau bagaimana bagi bahkan bahwa baik banyak banget baru bagian begini begitu "
+    "belum beberapa berada berikut bila bisa boleh buat bukan bukankah cuma cukup dalam dan dapat dari daripada dengan demi demikian dia di dong dulu gak ga gitu guna hal hanya "
+    "harus hingga ia ialah ini itu iya jadi jangan jika juga kalau kalian kami kamu kan karena kata ke kenapa kepada ketika kini kita kok lagi lah lain lalu lebih "
+    "maka malah mana masih masing mau maupun melalui memang mereka merupakan meski meskipun misalnya mungkin nah namun nanti nih nya oleh pada padahal para pasti pernah "
+    "pula pun punya saat saja salah sama sambil sampai sana sangat saya seakan sebab sebagai sebelum sebuah sedang sehingga sejak sekali sekarang selain selalu selama "
+    "semua seorang seperti sering serta sesuatu setelah setiap si siapa sih sini situ suatu sudah supaya tanpa tapi telah tentang terhadap terlalu tersebut tetap tetapi "
+    "tiap tidak untuk waktu walau wkwk ya yaitu yakni yang"
+).split()
 
 # Names of language codes.
 LANGUAGE_NAMES = {
     "id": "Indonesian", "ms": "Malay", "jv": "Javanese", "su": "Sundanese", "min": "Minangkabau", "ban": "Balinese",
     "ace": "Acehnese", "en": "English", "hi": "Hindi", "es": "Spanish", "ar": "Arabic", "zh": "Chinese", "ja": "Japanese",
     "ko": "Korean", "th": "Thai", "vi": "Vietnamese", "tl": "Tagalog", "ceb": "Cebuano", "fr": "French", "de": "German",
-    "pt": "Portuguese", "ru": "Russian", "nl": "Dutch", "it": "Italian", "tr": "Turkish", "und": "Undetermined",
+    "pt": "Portuguese", "ru": "Russian", "nl": "Dutch", "it": "Italian", "tr": "Turkish", "fa": "Persian", "ur": "Urdu",
+    "bn": "Bengali", "ta": "Tamil", "te": "Telugu", "mr": "Marathi", "pa": "Punjabi", "gu": "Gujarati", "kn": "Kannada",
+    "ml": "Malayalam", "pl": "Polish", "uk": "Ukrainian", "ro": "Romanian", "el": "Greek", "he": "Hebrew", "sw": "Swahili",
+    "und": "Undetermined",
 }
 
 
@@ -80,11 +91,19 @@ def clean_text(c: Column, lexicon: dict[str, str] | Column | None = None, keep_e
     return t if lexicon is None else normalize_slang(t, lexicon)
 
 
+MOST_LITERALS = 500
+
+
 def normalize_slang(c: Column, lexicon: dict[str, str] | Column) -> Column:
-    """Each token replaced once by its formal word, which may be several."""
+    """Each token replaced once by its formal word, which may be several.
+
+    A lexicon of more than MOST_LITERALS words is looked up in Arrow batches: a map in the plan is searched word by word.
+    """
     if isinstance(lexicon, dict):
         if not lexicon:
             return c
+        if len(lexicon) > MOST_LITERALS:
+            return pandas_udf(lambda s: s.map(lambda t: " ".join([lexicon.get(w, w) for w in t.split(" ")]), na_action="ignore"), StringType())(c)
         lexicon = F.create_map(*(F.lit(x) for pair in sorted(lexicon.items()) for x in pair))
     return F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(lexicon, w), w)), " ")
 
@@ -106,8 +125,7 @@ def lexicon_map(df: DataFrame, most: int = 100_000) -> dict[str, str]:
 
 def informative(clean: Column, stopwords: list[str] = STOPWORDS, min_content: int = 2, min_chars: int = 5) -> Column:
     """At least `min_chars` characters and `min_content` tokens that are longer than one and no stopwords."""
-    stop = F.array(*(F.lit(w) for w in stopwords))
-    content = F.filter(F.split(clean, " "), lambda w: (F.char_length(w) > 1) & ~F.array_contains(stop, w))
+    content = F.filter(F.split(clean, " "), lambda w: (F.char_length(w) > 1) & ~w.isin(*stopwords))
     return F.coalesce((F.char_length(clean) >= min_chars) & (F.size(content) >= min_content), F.lit(False))
 
 
@@ -135,6 +153,7 @@ def topic_label(topic: Column, keywords: Column) -> Column:
 
 def fingerprint(df: DataFrame, text_col: str, model: str, prefixed: bool = False) -> DataFrame:
     """One row: 16 hex digits that change with the model, the prefix, the number of texts or any text, in any order."""
-    parts = df.agg(F.count(text_col).alias("n"), F.sum(F.xxhash64(text_col, F.lit(1)).cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64(text_col, F.lit(2)).cast("decimal(38,0)")).alias("b"))
+    part = lambda at: F.sum(F.conv(F.substring(F.md5(text_col), at, 15), 16, 10).cast("decimal(38,0)"))
+    parts = df.agg(F.count(text_col).alias("n"), F.coalesce(part(1), F.lit(0)).alias("a"), F.coalesce(part(16), F.lit(0)).alias("b"))
     text = F.concat_ws("|", F.lit(model), F.lit(str(prefixed)), "n", "a", "b")
     return parts.select("n", F.substring(F.sha1(text), 1, 16).alias("fingerprint"))

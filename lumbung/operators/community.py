@@ -8,18 +8,15 @@ import numpy as np
 import pyarrow as pa
 
 
-SMALL = 3_000  # nodes up to which they are moved one by one
-
-
 def _summed(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights summed by pair, ordered by a, then b."""
     key, at = np.unique(a * np.int64(n) + b, return_inverse=True)
     return key // n, key % n, np.bincount(at, w, minlength=len(key))
 
 
-def _moved_together(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, degree: np.ndarray, total: float, resolution: float, rng: np.random.Generator) -> np.ndarray:
+def _moved_together(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, degree: np.ndarray, total: float, resolution: float, rng: np.random.Generator, start: np.ndarray) -> np.ndarray:
     """Communities after rounds in which a random quarter of the nodes moves at once, each to its best neighbour community."""
-    own = np.arange(n)
+    own = start.copy()
     for _ in range(40):
         turn, changed = rng.integers(0, 4, n), 0
         for g in range(4):
@@ -41,12 +38,12 @@ def _moved_together(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, deg
     return own
 
 
-def _moved_singly(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, degree: np.ndarray, total: float, resolution: float, rng: np.random.Generator) -> np.ndarray:
+def _moved_singly(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray, degree: np.ndarray, total: float, resolution: float, rng: np.random.Generator, start: np.ndarray) -> np.ndarray:
     """Communities after moving nodes one by one until none gains; neighbours of a moved node are looked at again."""
     graph: list[list[tuple[int, float]]] = [[] for _ in range(n)]
     for a, b, x in zip(src.tolist(), dst.tolist(), w.tolist(), strict=True):
         graph[a].append((b, x))
-    own, mass, queue, waiting = list(range(n)), degree.tolist(), rng.permutation(n).tolist(), [True] * n
+    own, mass, queue, waiting = start.tolist(), np.bincount(start, degree, minlength=n).tolist(), rng.permutation(n).tolist(), [True] * n
     while queue:
         later = []
         for v in queue:
@@ -85,36 +82,47 @@ def _connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def modularity_communities(n: int, edges: list[tuple[int, int, float]] | np.ndarray, resolution: float = 1.0, seed: int = 42, rounds: int = 20) -> np.ndarray:
+def modularity_communities(n: int, edges: list[tuple[int, int, float]] | np.ndarray, resolution: float = 1.0, seed: int = 42, rounds: int = 20, singly: int = 3_000) -> np.ndarray:
     """Communities of n nodes by local moving, refinement and aggregation, numbered by size, largest first.
 
     Maximises the weight inside communities less what their degrees predict, times `resolution`. After moving, each
-    community is split into its connected parts, so communities are always connected. Nodes without weight are alone.
-    Large graphs are moved by array operations, a quarter of the nodes at a time, small ones node by node.
+    community is refined: its nodes start anew on their own and are merged only along edges inside the community, and
+    the graph is summed up by these parts, which start the next round in their community. Communities are always
+    connected; nodes without weight are alone. Graphs of at most `singly` nodes are moved node by node, larger ones by
+    array operations, a quarter of the nodes at a time; 0 and a large number give one way at every size.
     """
-    member = np.arange(n)
+    member, whole = np.arange(n), np.arange(n)
     e = np.asarray(edges, np.float64).reshape(-1, 3)
     e = e[(e[:, 0] != e[:, 1]) & (e[:, 2] > 0)]
     a, b = e[:, 0].astype(np.int64), e[:, 1].astype(np.int64)
     src, dst, w = _summed(np.r_[a, b], np.r_[b, a], np.r_[e[:, 2], e[:, 2]], max(n, 1))
-    loops, rng, size = np.zeros(n), np.random.default_rng(seed), n
+    loops, rng, size, start = np.zeros(n), np.random.default_rng(seed), n, np.arange(n)
     for _ in range(rounds):
         degree = np.bincount(src, w, minlength=size) + 2 * loops
         total = float(degree.sum())
         if total <= 0:
             break
-        move = _moved_singly if size <= SMALL else _moved_together
-        own = move(size, src, dst, w, degree, total, resolution, rng)
+        move = _moved_singly if size <= singly else _moved_together
+        own = move(size, src, dst, w, degree, total, resolution, rng, start)
         inside = own[src] == own[dst]
         part = _connected(size, src[inside], dst[inside])
-        member = part[member]
-        k = int(part.max()) + 1
-        if k == size:
+        whole = part[member]
+        if int(part.max()) + 1 == size:
             break
-        same = part[src] == part[dst]
-        loops = np.bincount(part, loops, minlength=k) + np.bincount(part[src[same]], w[same] / 2, minlength=k)
-        src, dst, w = _summed(part[src[~same]], part[dst[~same]], w[~same], k)
+        fine = move(size, src[inside], dst[inside], w[inside], degree, total, resolution, rng, np.arange(size))
+        inside &= fine[src] == fine[dst]
+        fine = _connected(size, src[inside], dst[inside])
+        if int(fine.max()) + 1 == size:
+            fine = part
+        k = int(fine.max()) + 1
+        start = np.zeros(k, np.int64)
+        start[fine] = part
+        member = fine[member]
+        same = fine[src] == fine[dst]
+        loops = np.bincount(fine, loops, minlength=k) + np.bincount(fine[src[same]], w[same] / 2, minlength=k)
+        src, dst, w = _summed(fine[src[~same]], fine[dst[~same]], w[~same], k)
         size = k
+    member = whole
     names, inverse, count = np.unique(member, return_inverse=True, return_counts=True)
     first = np.full(len(names), n)
     np.minimum.at(first, inverse, np.arange(n))
@@ -153,22 +161,33 @@ def quality(n: int, edges: list[tuple[int, int, float]], labels: np.ndarray, res
 
 
 def ward(x: np.ndarray, k: int) -> np.ndarray:
-    """k clusters of the rows by least growth of the squared error, numbered by their first row; for topic-sized data."""
+    """k clusters of the rows by least growth of the squared error, numbered by their first row; for topic-sized data.
+
+    Chains of nearest neighbours over group means: memory grows with the rows, never with their pairs.
+    """
     n = len(x)
-    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
-    np.fill_diagonal(d, np.inf)
-    size, alive, group = np.ones(n), np.ones(n, bool), np.arange(n)
-    for _ in range(max(0, n - max(1, k))):
-        i, j = sorted(divmod(int(d.argmin()), n))
-        others = alive.copy()
-        others[[i, j]] = False
-        o = np.flatnonzero(others)
-        d[i, o] = d[o, i] = ((size[i] + size[o]) * d[i, o] + (size[j] + size[o]) * d[j, o] - size[o] * d[i, j]) / (size[i] + size[j] + size[o])
-        d[j], d[:, j] = np.inf, np.inf
+    c, size, alive = np.array(x, np.float64), np.ones(n), np.ones(n, bool)
+    sq, merges, chain = (c * c).sum(axis=1), [], []
+    while len(merges) < n - 1:
+        if not chain:
+            chain = [int(alive.argmax())]
+        while True:
+            i = chain[-1]
+            d = np.maximum(sq + sq[i] - 2 * c @ c[i], 0) * (size * size[i] / (size + size[i]))
+            d[~alive], d[i] = np.inf, np.inf
+            j = int(d.argmin())
+            if len(chain) > 1 and d[chain[-2]] <= d[j]:
+                break
+            chain.append(j)
+        i, j = sorted((chain.pop(), chain.pop()))
+        merges.append((float(d[j if d[i] == np.inf else i]), i, j))
+        c[i] = (size[i] * c[i] + size[j] * c[j]) / (size[i] + size[j])
+        sq[i] = c[i] @ c[i]
         size[i] += size[j]
         alive[j] = False
-        group[group == j] = i
-    return np.unique(group, return_inverse=True)[1]
+    merges.sort(key=lambda m: m[0])
+    pairs = np.array([m[1:] for m in merges[: max(0, n - max(1, k))]], np.int64).reshape(-1, 2)
+    return _connected(n, pairs[:, 0], pairs[:, 1])
 
 
 def density_tree(x: np.ndarray, k: int) -> list[tuple[float, int, int]]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbung.functions.text import language_name
+from lumbung.operators.skew import join_text
 
 KEPT = ("id", "ms", "jv", "su", "min", "ban", "ace")
 
@@ -25,6 +26,14 @@ def language_report(df: DataFrame, lang: str = "lang", conf: str = "lang_conf",
     return counts.crossJoin(F.broadcast(total)).select("lang", language_name(F.col("lang")).alias("language"), "rows", "rows_dropped", F.round(100.0 * F.col("rows_dropped") / F.col("total"), 2).alias("pct_of_input"))
 
 
+def kept_shares(df: DataFrame, lang: str = "lang", conf: str = "lang_conf", top: int = 10, **filter_by) -> DataFrame:
+    """(rank, lang, rows, pct): the most frequent languages of the rows that the filter keeps, with their share of them."""
+    kept = df.where(~dropped(F.col(lang), F.col(conf), **filter_by)).groupBy(F.coalesce(F.col(lang), F.lit("und")).alias("lang")).agg(F.count("*").alias("rows"))
+    total = kept.agg(F.sum("rows").alias("total"))
+    first = kept.orderBy(F.desc("rows"), "lang").limit(top).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("rows"), "lang")))
+    return first.crossJoin(F.broadcast(total)).select("rank", "lang", "rows", F.round(100.0 * F.col("rows") / F.col("total"), 2).alias("pct"))
+
+
 def distinct_texts(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """(text, first_id, n_rows): each text once, with its first row and its number of rows; null and empty texts are out."""
     rows = df.where(F.col(text_col) != "")
@@ -32,9 +41,9 @@ def distinct_texts(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 
 def propagate(df: DataFrame, text_col: str, labels: DataFrame, label: str = "topic", missing: int = -2) -> DataFrame:
-    """All rows with the label of their text; rows whose text has none get `missing`."""
+    """All rows with the label of their text, by `labels` with one row a text; rows whose text has none get `missing`."""
     known = labels.select(F.col("text").alias("_text"), label)
-    return df.join(known, df[text_col] == known["_text"], "left").drop("_text").withColumn(label, F.coalesce(label, F.lit(missing)))
+    return join_text(df.drop(label), text_col, known).withColumn(label, F.coalesce(label, F.lit(missing)))
 
 
 def batch_metrics(df: DataFrame, text_col: str = "clean_text", topic: str = "topic") -> DataFrame:
@@ -48,10 +57,4 @@ def batch_metrics(df: DataFrame, text_col: str = "clean_text", topic: str = "top
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all) without replacement, the same in any run: the first by a seeded hash of the id."""
-    return df.orderBy(F.xxhash64(F.lit(seed), id_col), id_col).limit(n)
-
-
-def keep_sample_per_group(df: DataFrame, group: str, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """At most n rows of each group, by a seeded hash of the id."""
-    w = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), id_col), id_col)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+    return df.orderBy(F.md5(F.concat_ws(" ", F.lit(seed), F.col(id_col).cast("string"))), id_col).limit(n)

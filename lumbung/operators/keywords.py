@@ -10,8 +10,7 @@ from lumbung.functions.text import STOPWORDS
 
 def words(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
     """Words of two or more characters without stopwords."""
-    stop = F.array(*(F.lit(w) for w in stopwords))
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: (F.char_length(w) >= 2) & ~F.array_contains(stop, w))
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: (F.char_length(w) >= 2) & ~w.isin(*stopwords))
 
 
 def with_pairs(words: Column) -> Column:
@@ -20,15 +19,21 @@ def with_pairs(words: Column) -> Column:
     return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
 
 
-def term_counts(df: DataFrame, topic: str, text: str, min_topics: int = 2, most_terms: int = 20_000, **of) -> DataFrame:
-    """(topic, term, n, df, f): counts of the `most_terms` most frequent terms that `min_topics` topics or more have.
+def term_counts(df: DataFrame, topic: str, text: str, min_topics: int = 2, most_terms: int = 20_000, min_docs: int = 1, **of) -> DataFrame:
+    """(topic, term, n, df, f): counts of the `most_terms` most frequent terms that `min_topics` topics and `min_docs` texts or more have.
 
     Ties at the limit go to the smaller term. Counts are combined per task; the vocabulary has a fixed bound.
     """
     rows = df.where(F.col(topic) >= 0).select(F.col(topic).alias("topic"), words(F.col(text), **of).alias("words"))
-    rows = rows.select("topic", F.explode(with_pairs(F.col("words"))).alias("term"))
-    counts = rows.groupBy("topic", "term").agg(F.count("*").alias("n"))
-    vocabulary = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("f")).where(F.col("df") >= min_topics)
+    terms = with_pairs(F.col("words"))
+    if min_docs > 1:
+        once = F.transform(terms, lambda t, i: F.struct(t.alias("term"), (F.array_position(terms, t) == i + 1).cast("long").alias("first")))
+        rows = rows.select("topic", F.inline(once))
+    else:
+        rows = rows.select("topic", F.explode(terms).alias("term"), F.lit(1).cast("long").alias("first"))
+    counts = rows.groupBy("topic", "term").agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
+    vocabulary = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("f"), F.sum("docs").alias("docs"))
+    vocabulary = vocabulary.where((F.col("df") >= min_topics) & (F.col("docs") >= min_docs)).drop("docs")
     kept = vocabulary.orderBy(F.desc("f"), "term").limit(most_terms)
     return counts.join(kept, "term").select("topic", "term", "n", "df", "f")
 
@@ -77,7 +82,7 @@ def rake(df: DataFrame, topic: str, text: str, id_col: str, stopwords: list[str]
     From at most `most_docs` texts a topic, by a hash of the id (the sample that this report is defined on); a phrase
     counts once a topic; phrases have at most `most_words` words.
     """
-    pick = Window.partitionBy(topic).orderBy(F.xxhash64(id_col), id_col)
+    pick = Window.partitionBy(topic).orderBy(F.md5(F.col(id_col).cast("string")), id_col)
     rows = df.where((F.col(topic) >= 0) & F.col(text).isNotNull()).withColumn("_n", F.row_number().over(pick)).where(F.col("_n") <= most_docs)
     stop = "|".join(sorted(stopwords))
     cut = F.regexp_replace(F.lower(text), rf"(?<![\p{{L}}\p{{N}}_])(?:{stop})(?![\p{{L}}\p{{N}}_])|[^\p{{L}}\p{{N}}_\s]", "\n")

@@ -80,12 +80,12 @@ def global_summary(local: DataFrame, mapping: DataFrame, cents: DataFrame | None
 def super_topics(cents: DataFrame, keys: list[str], top: int = 10, similarity: float = 0.25, seed: int = 42) -> DataFrame:
     """(*keys, super_topic): communities of similar centroids, or `top` clusters by squared error if there are fewer."""
     ids, x = _vectors(cents, keys)
-    n, edges = len(ids), []
+    n, edges = len(ids), [np.zeros((0, 3))]
     for s in range(0, n, 1000):
         sim = x[s : s + 1000] @ x.T
-        i, j = np.nonzero(sim >= similarity)
-        edges += [(int(a) + s, int(b), float(sim[a, b])) for a, b in zip(i, j, strict=True) if a + s < b]
-    labels = community.modularity_communities(n, edges, seed=seed)
+        i, j = np.nonzero((sim >= similarity) & (np.arange(n)[None] > np.arange(s, s + len(sim))[:, None]))
+        edges.append(np.column_stack([i + s, j, sim[i, j]]))
+    labels = community.modularity_communities(n, np.concatenate(edges), seed=seed)
     if labels.max(initial=-1) + 1 < top <= n:
         labels = community.ward(x, top)
     labels = _nearest_group(x, labels) if n else labels
@@ -104,6 +104,11 @@ def ranked_super_topics(members: DataFrame, source: str, count: str = "n_rows",
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), "super_topic"))).select("rank", "super_topic", "count", "n_sources", "keywords")
 
 
+def totals(ranked: DataFrame) -> DataFrame:
+    """(total_documents, total_super_clusters) over all super topics of a ranking, not only the first ones."""
+    return ranked.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total_documents"), F.count("*").alias("total_super_clusters"))
+
+
 def top_names(members: DataFrame, name: str, n: int = 3) -> DataFrame:
     """(super_topic, top_names): the n most frequent names of each, joined by bars; blanks and `nan` are none."""
     rows = members.where((F.trim(name) != "") & (F.lower(F.trim(name)) != "nan")).groupBy("super_topic", F.trim(name).alias("name")).agg(F.count("*").alias("n"))

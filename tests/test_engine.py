@@ -13,6 +13,7 @@ def test_chunks_merge_and_resume(spark, tmp_path):
     settings = {"target": (2, 4), "k": 6, "language_filter": False, "min_unique": 20}
     assert e.cluster_chunks(df, "content", "id", "chunk_no", path, **settings) == ["0", "1"]
     assert e.cluster_chunks(df, "content", "id", "chunk_no", path, **settings) == []
+    assert [r.chunk for r in e.refused(path).collect()] == ["2"] and "fewer" in e.refused(path).first().reason
     summary, assigned = e.merge(path, (2, 3))
     assert assigned.count() == 160 and 2 <= summary.count() <= 3
     assert sum(r.n_rows for r in summary.collect()) == assigned.where("global_topic >= 0").count()
@@ -39,4 +40,6 @@ def test_cursor(spark, tmp_path):
     assert sources.read_cursor(spark, path) is None
     sources.write_cursor(spark, path, 0, ("2026-01-01", 5))
     sources.write_cursor(spark, path, 1, ("2026-01-02", 7))
-    assert sources.read_cursor(spark, path) == (1, ("2026-01-02", "7"))
+    assert sources.read_cursor(spark, path) == (1, ("2026-01-02", 7))
+    sources.write_cursor(spark, path, 1, (None, 9))
+    assert sources.read_cursor(spark, path) == (1, (None, 9))

@@ -27,6 +27,30 @@ def test_communities_find_the_planted_groups():
     assert (labels == community.modularity_communities(n + 1, edges)).all()
 
 
+def test_both_ways_of_moving_find_the_planted_groups():
+    n, edges = planted(6, 30, 4)
+    for singly in (0, 10**9):
+        labels = community.modularity_communities(n, edges, singly=singly)
+        truth = np.arange(n) // 30
+        assert sum((labels == np.bincount(labels[truth == t]).argmax())[truth == t].sum() for t in range(6)) >= n - 6
+        for c in range(labels.max() + 1):  # communities are connected
+            own = np.flatnonzero(labels == c)
+            inside = np.array([(a, b) for a, b, _ in edges if labels[a] == c == labels[b]], np.int64).reshape(-1, 2)
+            assert len(set(community._connected(n, inside[:, 0], inside[:, 1])[own])) == 1
+
+
+def test_ward_by_chains_is_the_greedy_one():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 3))
+    groups = [[i] for i in range(60)]
+    while len(groups) > 7:
+        cost = {(i, j): len(a) * len(b) / (len(a) + len(b)) * ((x[a].mean(axis=0) - x[b].mean(axis=0)) ** 2).sum() for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j}
+        i, j = min(cost, key=cost.get)
+        groups[i] += groups.pop(j)
+    labels = community.ward(x, 7)
+    assert {frozenset(np.flatnonzero(labels == k).tolist()) for k in range(7)} == {frozenset(g) for g in groups}
+
+
 def test_communities_without_weight_are_single():
     assert sorted(community.modularity_communities(4, []).tolist()) == [0, 1, 2, 3]
     assert sorted(community.modularity_communities(3, [(0, 1, 0.0)]).tolist()) == [0, 1, 2]

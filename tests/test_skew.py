@@ -1,13 +1,23 @@
 from collections import Counter
 
-from lumbung.operators.skew import eager_join_sums, heavy_keys, join_hot
+from pyspark.sql import functions as F
 
+from lumbung.operators.skew import eager_join_sums, eager_rollup, join_hot, join_text
 
-def test_heavy_keys(spark):
-    rows = [("a",)] * 60 + [("b",)] * 30 + [(None,)] * 9 + [("c",)]
-    df = spark.createDataFrame(rows, "k string")
-    assert {(r.key, r.n, r.total) for r in heavy_keys(df, "k", 0.3).collect()} == {("a", 60, 100), ("b", 30, 100)}
-    assert heavy_keys(df.where("false"), "k").count() == 0
+
+def test_rollup_is_that_of_the_join(spark):
+    left = spark.createDataFrame([("a", "x")] * 40 + [("a", "y")] * 3 + [("b", "x"), (None, "x"), ("c", None)], "k string, g string")
+    right = spark.createDataFrame([("a", 2), ("a", 5), ("a", None), ("c", 7), ("d", 1), (None, 3)], "k string, v long")
+    got = {r.g: (int(r.joined_rows), int(r.joined_sum)) for r in eager_rollup(left, right, "k", "g", "v").collect()}
+    want = {r.g: (r.n, r.s) for r in left.join(right, "k").groupBy("g").agg(F.count("*").alias("n"), F.sum("v").alias("s")).collect()}
+    assert got == want
+
+
+def test_hot_texts_are_joined(spark):
+    df = spark.createDataFrame([("viral", i) for i in range(50)] + [(None, 90), ("x", 91), ("y", 92)], "t string, i int")
+    known = spark.createDataFrame([("viral", 1), ("x", 2)], "_text string, n int")
+    for most in (1000, 2):
+        assert {(r.i, r.n) for r in join_text(df, "t", known, most).collect()} == {(i, 1) for i in range(50)} | {(90, None), (91, 2), (92, None)}
 
 
 def test_eager_sums_match_the_joined_rows(spark):

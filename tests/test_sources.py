@@ -45,7 +45,9 @@ def test_chunks_and_resume(spark, tmp_path):
     path = str(tmp_path / "chunks")
     assert sources.write_chunks(numbered.where("chunk_id < 2"), path) == [0, 1]
     assert sources.write_chunks(numbered, path) == [2, 3] and sources.write_chunks(numbered, path) == []
-    assert spark.read.parquet(path).count() == 100
+    assert sources.finished_rows(spark, path).count() == 100
+    numbered.where("chunk_id = 3").withColumn("chunk_id", F.lit(9)).write.partitionBy("chunk_id").mode("append").parquet(f"{path}/rows")  # of a run that died
+    assert sources.finished_rows(spark, path).count() == 100
     parts = sources.union_indices([df.withColumn("x", F.lit(1)), df], 130, ("id",))
     assert parts.count() == 130 and parts.where("index_no = 0").count() == 100
 
@@ -75,7 +77,14 @@ def test_topic_tables_and_zip(spark, tmp_path):
             z.writestr(name, f"x\n{name}\n")
     got = {r.name: r.content for r in sources.zip_members(spark, str(tmp_path / "z.zip")).collect()}
     assert got == {"a.csv": "x\nd/a.csv\n", "a_2.csv": "x\ne/a.csv\n"}
-    assert sources.csv_rows(got["a.csv"]) == [{"x": "d/a.csv"}]
+    with pytest.raises(ValueError):
+        sources.topic_tables(spark, [str(tmp_path / "z.zip")])
+    with zipfile.ZipFile(tmp_path / "t.zip", "w") as z:
+        z.writestr("p/one.csv", "Count,KEYWORDS,name\n4,\"a, b\",n\n2,nan,\nx,c,m\n")
+        z.writestr("q/one.csv", "count,keywords,examples\n1,d,u ||| v\n")
+    rows = sources.topic_tables(spark, [str(a), str(tmp_path / "t.zip")]).orderBy("place").collect()
+    assert [(r.source.replace("%20", " "), r["count"], r.keywords, r.examples) for r in rows[2:]] == [("one", 4, "a, b", None), ("one", 0, "c", None), ("one_2", 1, "d", "u ||| v")]
+    assert [r.keywords for r in rows[:2]] == ["a, b", "c"]
     (tmp_path / "cache").mkdir()
     (tmp_path / "cache" / "c.csv").write_text("a\n")
     (tmp_path / "topic_graph_edges.csv").write_text("a\n")
@@ -106,3 +115,16 @@ def test_pages_go_through_null_keys_to_the_end(spark):
             break
         got, after = got + page, page[-1]
     assert got == rows
+
+
+def test_fetch_goes_on_where_it_stood(spark, tmp_path):
+    a = spark.createDataFrame([(i // 4 if i % 5 else None, i, [i]) for i in range(23)], "ts long, id long, tags array<int>").repartition(3)
+    b = spark.createDataFrame([(1, 100, [1]), (None, 101, None)], "ts long, id long, tags array<int>")
+    path = str(tmp_path / "fetch")
+    assert sources.fetch([a, b], path, 4, ("ts", "id"), most_chunks=2) == 2
+    a.where("id < 2").withColumn("index_no", F.lit(0)).write.parquet(f"{path}/rows/chunk_id=3")  # of a run that died before its manifest
+    assert sources.finished_rows(spark, path).count() == 8
+    assert sources.fetch([a, b], path, 4, ("ts", "id")) == 5 and sources.fetch([a, b], path, 4, ("ts", "id")) == 0
+    rows = sources.finished_rows(spark, path).orderBy("chunk_id", F.col("ts").asc_nulls_last(), "id").collect()
+    assert [(r.ts, r.id) for r in rows] == [tuple(r) for d in (a, b) for r in d.orderBy(F.col("ts").asc_nulls_last(), "id").select("ts", "id").collect()]
+    assert rows[0].tags == f"[{rows[0].id}]"

@@ -106,15 +106,24 @@ def test_keyword_terms(spark):
     assert keywords.ctfidf(keywords.term_counts(empty, "topic", "t")).count() == 0
 
 
-def test_too_many_topics_are_refused(spark, monkeypatch):
+def test_more_topics_than_a_worker_holds(spark, monkeypatch):
     from lumbung.plans import batch
 
+    df = spark.createDataFrame([(i, i % 7, [1.0, float(i), float(i % 3)]) for i in range(30)] + [(90, None, [0.0, 0.0, 0.0])], "id long, topic int, vec array<double>")
+    cents = topics.centroids(df, "topic", "vec")
+    want = sorted(tuple(r) for r in topics.nearest(df, "id", "vec", cents).collect())
+    own = sorted(tuple(r) for r in topics.own_similarity(df, "id", "topic", "vec", cents).collect())
     monkeypatch.setattr(topics, "MOST_TOPICS", 2)
-    df = spark.createDataFrame([(i, i, [1.0, float(i)]) for i in range(3)], "id long, topic int, vec array<double>")
-    cents = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(3)], "topic int, centroid array<double>")
-    edges = spark.createDataFrame([], "topic_a int, topic_b int, w double")
+    assert sorted(tuple(r) for r in topics.nearest(df, "id", "vec", cents).collect()) == want
+    assert sorted(tuple(r) for r in topics.own_similarity(df, "id", "topic", "vec", cents).collect()) == own
     with pytest.raises(ValueError):
-        topics.own_similarity(df, "id", "topic", "vec", cents)
-    with pytest.raises(ValueError):
-        batch.meta_topics(cents, edges, "w")
-    assert topics.own_similarity(df, "id", "topic", "vec", cents.where("topic < 2")).count() == 2
+        batch.meta_topics(cents, spark.createDataFrame([], "topic_a int, topic_b int, w double"), "w")
+
+
+def test_neighbours_do_not_depend_on_the_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=6)]) for i in range(150)] + [(200 + i, [1.0, 2.0, 0.0, 0.0, 1.0, 3.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v array<float>")
+    got = [{(r.src, r.dst, round(r.weight, 6)) for r in topics.exact_neighbours(df, "id", "v", 4, block=b).collect()} for b in (20_000, 60)]
+    assert got[0] == got[1]
+    assert {(s, d) for s, d, w in got[0] if s >= 200 and d < 204} == {(a, b) for a in range(200, 204) for b in range(a + 1, 204)}
