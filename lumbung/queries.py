@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lumbung.functions import models, text
 from lumbung.operators import community, components, corpus, keywords, skew, topics
 from lumbung.plans import batch, merge, report
-from lumbung.session import spread, stage, table
+from lumbung.session import shared_dir, spread, stage, table
 from lumbung import sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +91,14 @@ def language_report(spark, sf):
     return corpus.language_report(table(spark, sf, "assignments"))
 
 
+@query(
+    f"""WITH kept AS (SELECT coalesce(lang, 'und') AS lang FROM assignments WHERE NOT (coalesce(lang, 'und') NOT IN ({KEEP}) AND round(coalesce(lang_conf, 0), 3) >= 0.5)), c AS (SELECT lang, count(*) AS rows FROM kept GROUP BY lang)
+    SELECT row_number() OVER (ORDER BY rows DESC, lang) AS rank, lang, rows, round(100.0 * rows / (SELECT count(*) FROM kept), 2) AS pct FROM c QUALIFY rank <= 10"""
+)
+def kept_languages(spark, sf):
+    return corpus.kept_shares(table(spark, sf, "assignments"))
+
+
 @query()
 def detected_languages(spark, sf):
     return models.detect_distinct(table(spark, sf, "assignments").select("post_id", "clean_text"), "clean_text").select("post_id", "lang", "lang_conf")
@@ -123,12 +132,15 @@ def batch_metrics(spark, sf):
     return corpus.batch_metrics(table(spark, sf, "assignments"))
 
 
-@query()
+@query("SELECT post_id, project_id FROM fetched_posts ORDER BY md5('42 ' || post_id), post_id LIMIT 1000")
 def sampled_rows(spark, sf):
     return corpus.hash_sample(table(spark, sf, "fetched_posts").select("post_id", "project_id"), "post_id", 1000)
 
 
-@query()
+@query(
+    """WITH h AS (SELECT md5(clean_text) AS h FROM assignments WHERE clean_text IS NOT NULL)
+    SELECT count(*) AS n, substr(sha1('hashed-ngrams|False|' || count(*) || '|' || coalesce(sum(CAST('0x' || h[1:15] AS HUGEINT)), 0) || '|' || coalesce(sum(CAST('0x' || h[16:30] AS HUGEINT)), 0)), 1, 16) AS fingerprint FROM h"""
+)
 def corpus_fingerprint(spark, sf):
     return text.fingerprint(table(spark, sf, "assignments"), "clean_text", "hashed-ngrams")
 
@@ -155,10 +167,81 @@ def project_count(spark, sf):
     return posts.where(F.col("project_id") == _biggest(posts)).agg(F.count("*").alias("n"))
 
 
-@query("SELECT post_id, project_id FROM (SELECT post_id, project_id, 0 AS index_no FROM fetched_posts WHERE chunk_no = 0 UNION ALL SELECT post_id, project_id, 1 FROM fetched_posts WHERE chunk_no <> 0) ORDER BY index_no, post_id LIMIT 5000")
-def indices_in_order(spark, sf):
+BOTH = "(SELECT post_id, project_id, 0 AS index_no FROM fetched_posts WHERE chunk_no = 0 UNION ALL SELECT post_id, project_id, 1 FROM fetched_posts WHERE chunk_no <> 0)"
+
+
+def _indices(spark, sf):
     posts = table(spark, sf, "fetched_posts").select("post_id", "project_id", "chunk_no")
-    return sources.union_indices([posts.where("chunk_no = 0"), posts.where("chunk_no <> 0")], 5000, ("post_id",)).select("post_id", "project_id")
+    return [posts.where("chunk_no = 0"), posts.where("chunk_no <> 0")]
+
+
+@query(f"SELECT post_id, project_id, index_no, row_number() OVER (ORDER BY index_no, post_id) - 1 AS place FROM {BOTH}")
+def indices_in_order(spark, sf):
+    rows = sources.union_indices(_indices(spark, sf))
+    numbered = sources.chunk_numbers(rows, 1, [F.col("index_no"), F.col("post_id")])
+    return numbered.select("post_id", "project_id", "index_no", F.col("chunk_id").alias("place"))
+
+
+@query(f"SELECT post_id, project_id FROM {BOTH} ORDER BY index_no, post_id LIMIT 5000")
+def first_of_indices(spark, sf):
+    return sources.union_indices(_indices(spark, sf), 5000, ("post_id",)).select("post_id", "project_id")
+
+
+@query(f"SELECT post_id FROM fetched_posts WHERE project_id = {BIGGEST} AND post_ts IS NULL")
+def pages_of_null_keys(spark, sf):
+    """Pages through the rows of the largest project without a time, to the end."""
+    posts = table(spark, sf, "fetched_posts")
+    rows = stage(sources.text_source(posts, _biggest(posts), ["post_ts", "post_id"]), "rows")
+    out, after = None, (None, -1)
+    while True:
+        one = stage(sources.page(rows, 500, after, ("post_ts", "post_id")), "page")
+        last = one.agg(F.max("post_id")).first()[0]
+        if last is None:
+            return out if out is not None else one.select("post_id")
+        out = one.select("post_id") if out is None else out.unionByName(one.select("post_id"))
+        after = (None, last)
+
+
+def _new_folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    f"""WITH r AS (SELECT index_no, row_number() OVER (PARTITION BY index_no ORDER BY post_ts NULLS LAST, post_id) AS n FROM (SELECT post_id, post_ts, project_id, CASE WHEN chunk_no = 0 THEN 0 ELSE 1 END AS index_no FROM fetched_posts) WHERE project_id = {BIGGEST}),
+    c AS (SELECT index_no, (n - 1) // 1000 AS k, count(*) AS n FROM r GROUP BY ALL) SELECT row_number() OVER (ORDER BY index_no, k) AS chunk_id, index_no, n FROM c"""
+)
+def fetched_chunks(spark, sf):
+    """A fetch of the largest project's posts from two indices in chunks, stopped after the first and taken up again."""
+    posts = table(spark, sf, "fetched_posts")
+    rows = stage(posts.where(F.col("project_id") == _biggest(posts)).select("post_ts", "post_id", "chunk_no", "content"), "rows")
+    both, path = [rows.where("chunk_no = 0"), rows.where("chunk_no <> 0")], _new_folder(spark, "fetch")
+    sources.fetch(both, path, 1000, ("post_ts", "post_id"), most_chunks=1)
+    sources.fetch(both, path, 1000, ("post_ts", "post_id"))
+    return sources.finished_rows(spark, path).groupBy("chunk_id", "index_no").agg(F.count("*").alias("n"))
+
+
+@query("SELECT chunk_id, count(*) AS n, CAST(sum(post_id) AS BIGINT) AS ids FROM (SELECT (row_number() OVER (ORDER BY post_ts NULLS LAST, post_id) - 1) // 500 AS chunk_id, post_id FROM fetched_posts) GROUP BY chunk_id")
+def written_chunks(spark, sf):
+    """Numbered chunks written twice, of which the second run finds all finished."""
+    chunks, path = _chunks(spark, sf), _new_folder(spark, "chunks")
+    sources.write_chunks(chunks.where("chunk_id < 3"), path)
+    sources.write_chunks(chunks, path)
+    return sources.finished_rows(spark, path).groupBy("chunk_id").agg(F.count("*").alias("n"), F.sum("post_id").alias("ids"))
+
+
+@query("SELECT f AS format, count(*) AS n, count(DISTINCT job_id) AS jobs, count(project_id) AS projects FROM cluster_jobs, (SELECT unnest(['csv', 'tsv', 'jsonl', 'parquet', 'json']) AS f) GROUP BY f")
+def formats_read(spark, sf):
+    """The same table written in every format and read back by its suffix."""
+    jobs, path, out = table(spark, sf, "cluster_jobs").select("job_id", "project_id"), _new_folder(spark, "formats"), None
+    jobs.write.csv(f"{path}/a.csv", header=True, escape='"')
+    jobs.write.csv(f"{path}/a.tsv", header=True, sep="\t", escape='"')
+    jobs.write.json(f"{path}/a.jsonl")
+    jobs.write.parquet(f"{path}/a.parquet")
+    jobs.agg(F.collect_list(F.struct("job_id", "project_id")).alias("rows")).select(F.lit(1).alias("meta"), "rows").coalesce(1).write.json(f"{path}/a.json")
+    for kind in ("csv", "tsv", "jsonl", "parquet", "json"):
+        one = sources.read_table(spark, f"{path}/a.{kind}").agg(F.count("*").alias("n"), F.count_distinct("job_id").alias("jobs"), F.count("project_id").alias("projects")).select(F.lit(kind).alias("format"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 CHUNKS = "SELECT (row_number() OVER (ORDER BY post_ts NULLS LAST, post_id) - 1) // 500 AS chunk_id, post_id FROM fetched_posts"
@@ -252,13 +335,13 @@ def centroid_graph(spark, sf):
     return topics.centroid_pairs(_centroids(spark, sf), 0.1).withColumn("similarity", F.round("similarity", 6))
 
 
-KNN = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS size FROM embeddings),
+KNN = """e AS (SELECT vec_id, v, size FROM (SELECT vec_id, CAST(vec AS DOUBLE[]) AS v, sqrt(list_dot_product(CAST(vec AS DOUBLE[]), CAST(vec AS DOUBLE[]))) AS size FROM post_vectors WHERE vec IS NOT NULL) WHERE size > 0),
     pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.v, b.v) / a.size / b.size, 9) AS w FROM e a JOIN e b ON a.vec_id <> b.vec_id),
     edges AS (SELECT least(a, b) AS src, greatest(a, b) AS dst, max(w) AS w FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY w DESC, b) AS r FROM pairs) WHERE r <= 15 AND w >= 0 GROUP BY ALL)"""
 
 
 def _edges(spark, sf):
-    return stage(topics.exact_neighbours(table(spark, sf, "embeddings"), "vec_id", "embedding"), "edges")
+    return stage(topics.exact_neighbours(_vectors(spark, sf), "vec_id", "vec"), "edges")
 
 
 @query(f"WITH {KNN} SELECT src, dst, round(w, 6) AS weight FROM edges")
@@ -267,11 +350,11 @@ def neighbour_edges(spark, sf):
 
 
 @query(
-    f"""WITH RECURSIVE {KNN}, bi AS MATERIALIZED (SELECT src AS x, dst AS y FROM edges WHERE w >= 0.4 UNION SELECT dst, src FROM edges WHERE w >= 0.4),
+    f"""WITH RECURSIVE {KNN}, bi AS MATERIALIZED (SELECT src AS x, dst AS y FROM edges WHERE w >= 0.9 UNION SELECT dst, src FROM edges WHERE w >= 0.9),
     walk(node, root) AS (SELECT x, x FROM bi UNION SELECT y, root FROM walk JOIN bi ON node = x) SELECT node, min(root) AS root FROM walk GROUP BY node HAVING min(root) <> node"""
 )
 def connected_components(spark, sf):
-    return components.components(_edges(spark, sf).where("weight >= 0.4"), "src", "dst")
+    return components.components(_edges(spark, sf).where("weight >= 0.9"), "src", "dst")
 
 
 def _plain(edges: DataFrame) -> tuple[list[int], list[tuple[int, int, float]]]:
@@ -301,17 +384,17 @@ def meta_topics(spark, sf):
 
 
 @query(
-    """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label >= 0), n AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+    """WITH e AS (SELECT vec_id, label, CAST(vec AS DOUBLE[]) AS v FROM post_vectors WHERE label >= 0 AND vec IS NOT NULL), n AS (SELECT label, count(*) AS n FROM e GROUP BY label),
     d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS s FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY ALL),
     ab AS (SELECT vec_id, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM d JOIN n ON other = n.label GROUP BY vec_id)
     SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM ab"""
 )
 def silhouette_score(spark, sf):
-    s = topics.silhouette(table(spark, sf, "embeddings"), "vec_id", "label", "embedding")
+    s = topics.silhouette(_vectors(spark, sf), "vec_id", "label", "vec")
     return spark.createDataFrame([(s,)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@query()
+@query("SELECT min(post_id) AS first_id, 384 AS dim, CAST(1 AS DOUBLE) AS length FROM assignments WHERE clean_text <> '' GROUP BY clean_text")
 def embedded_texts(spark, sf):
     unique = corpus.distinct_texts(table(spark, sf, "assignments"), "clean_text", "post_id")
     return models.embed_texts(unique, "first_id", "text").select(F.col("id").alias("first_id"), F.size("vec").alias("dim"), F.round(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x), 4).alias("length"))
@@ -346,6 +429,19 @@ def topic_keywords_by_size(spark, sf):
     return keywords.ctfidf_by_class_size(_counts(spark, sf)).withColumn("score", F.round("score", 6))
 
 
+COMMON = COUNTS.replace("FROM cnt GROUP BY term HAVING count(*) >= 2", "FROM cnt JOIN docs USING (term) GROUP BY term HAVING count(*) >= 2 AND any_value(docs) >= 5").replace("    cnt AS", "    docs AS (SELECT term, count(DISTINCT post_id) AS docs FROM (SELECT post_id, unnest(list_concat(ws, [ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))])) AS term FROM rows) GROUP BY term),\n    cnt AS").replace("(SELECT topic, [w for", "(SELECT post_id, topic, [w for")
+
+
+@query(
+    f"""WITH {COMMON}, s AS (SELECT topic, term, round(n / total * ln(1 + (SELECT avg(total) FROM tot) / f), 9) AS score FROM c JOIN tot USING (topic))
+    SELECT topic, rank, term, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, term) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+)
+def topic_keywords_of_common_terms(spark, sf):
+    """By class size, with only the terms that five texts or more have."""
+    counts = keywords.term_counts(spread(table(spark, sf, "assignments").select("topic", "clean_text")), "topic", "clean_text", min_docs=5)
+    return keywords.ctfidf_by_class_size(stage(counts, "counts")).withColumn("score", F.round("score", 6))
+
+
 GOOD = "trim(keywords) <> '' AND lower(trim(keywords)) <> 'nan'"
 
 
@@ -358,7 +454,15 @@ def merged_keywords(spark, sf):
     return keywords.merged_keywords(table(spark, sf, "global_topics"), "meta_topic", "keywords", "n_rows")
 
 
-@query()
+@query(
+    rf"""WITH picked AS (SELECT topic, clean_text FROM assignments WHERE topic >= 0 AND clean_text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY topic ORDER BY md5(CAST(post_id AS VARCHAR)), post_id) <= 200),
+    tok AS (SELECT topic, [CASE WHEN list_contains({STOP}, w) THEN '|' ELSE w END for w in string_split_regex(regexp_replace(lower(clean_text), '[^\p{{L}}\p{{N}}_\s]', ' | ', 'g'), '\s+') if w <> ''] AS ws FROM picked),
+    one AS (SELECT DISTINCT topic, trim(unnest(string_split(array_to_string(ws, ' '), '|'))) AS term FROM tok),
+    ph AS (SELECT topic, term, string_split(term, ' ') AS ws FROM one WHERE term <> '' AND len(string_split(term, ' ')) <= 4),
+    word AS (SELECT topic, term, len(ws) AS size, unnest(ws) AS word FROM ph), s AS (SELECT topic, word, sum(size) / count(*) AS s FROM word GROUP BY ALL),
+    scored AS (SELECT topic, term, round(sum(s), 6) AS score FROM word JOIN s USING (topic, word) GROUP BY ALL)
+    SELECT topic, rank, term, score FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, term) AS rank FROM scored) WHERE rank <= 10"""
+)
 def rake_phrases(spark, sf):
     return keywords.rake(table(spark, sf, "assignments"), "topic", "clean_text", "post_id")
 
@@ -377,6 +481,11 @@ def ranked_super_topics(spark, sf):
     return merge.ranked_super_topics(table(spark, sf, "global_topics").withColumnRenamed("meta_topic", "super_topic"), "project_id")
 
 
+@query("SELECT CAST(coalesce(sum(n_rows), 0) AS BIGINT) AS total_documents, count(DISTINCT meta_topic) + count(DISTINCT CASE WHEN meta_topic IS NULL THEN 1 END) AS total_super_clusters FROM global_topics")
+def super_topic_totals(spark, sf):
+    return merge.totals(ranked_super_topics(spark, sf))
+
+
 @query(
     f"""WITH n AS (SELECT meta_topic, trim(string_split(trim(keywords), ', ')[1]) AS name, count(*) AS n FROM global_topics WHERE {GOOD} GROUP BY ALL)
     SELECT meta_topic AS super_topic, string_agg(name, ' | ' ORDER BY n DESC, name) AS top_names FROM (SELECT *, row_number() OVER (PARTITION BY meta_topic ORDER BY n DESC, name) AS r FROM n WHERE name <> '') WHERE r <= 3 GROUP BY meta_topic"""
@@ -505,6 +614,16 @@ def p6_users(spark, sf):
     return states.select(F.col("key").alias("from_username"), F.col("posts_rows").alias("posts"), F.col("posts_engagement_sum").alias("engagement"), F.coalesce("posts_reach_sum", F.lit(0)).alias("reach"), F.round(100.0 * F.col("posts_rows") / F.col("total"), 4).alias("pct"))
 
 
+@query(
+    """SELECT specific_resource_type, CAST(count(*) AS DOUBLE) AS joined_rows, CAST(sum(coalesce(n_chars, 0)) AS DOUBLE) AS joined_chars
+    FROM fetched_posts p JOIN documents d ON p.project_id = d.project_id GROUP BY specific_resource_type"""
+)
+def p6_types(spark, sf):
+    """Posts joined with the documents of their project, rolled up to the resource type of the posts."""
+    rolled = skew.eager_rollup(table(spark, sf, "fetched_posts"), table(spark, sf, "documents"), "project_id", "specific_resource_type", "n_chars")
+    return rolled.select("specific_resource_type", F.col("joined_rows").cast("double").alias("joined_rows"), F.col("joined_sum").cast("double").alias("joined_chars"))
+
+
 # ---- the whole batch
 
 
