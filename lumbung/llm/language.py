@@ -1,8 +1,10 @@
 """Language of each text and of its segments by cross-parsing.
 
-For each language a suffix automaton of labelled words yields the longest matches of a word; the number of phrases into
-which it falls, divided by the most it could be, is its cost in that language. A text is cut into segments by the
-cheapest path through languages; the language that needs fewest phrases wins a segment, its lead is the confidence.
+For each language a suffix automaton of running labelled text yields the longest matches into which a text falls when it
+is read from left to right; every word costs the phrases it takes part in. A text is cut into segments by the cheapest
+path through languages; the language that needs the fewest normalised phrases wins a segment. A segment that even it
+explains worse than any labelled text is of none of the languages (`und`). The confidence is the share of labelled
+passages with a like lead that were right.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ from pyspark.sql import Window
 NOISE = re.compile(r"https?://\S+|www\.\S+|\S+ (?:at|[\[({]at[\])}]) \S+ (?:dot|[\[({]dot[\])}]) \S+|[\w.+-]*(?:\s?[@＠]\s?|[\[({]at[\])}])[\w.-]+|&#?\w+;|\bRT\b")
 PIECE = re.compile(r"[^\W\d_]+|[\n/.!?;|–—]|\s-\s")
 LAUGH = re.compile(r"(?:w+k+){2,}w?|(?:[hkx][aeiou]){2,}h?|w{3,}|lo+l")
-SWITCH, AT_BREAK = 2.0, 1.2  # cost of another language after a word, and after a mark that may end a sentence
-UNKNOWN = 0.25  # weight of a word that no language explains as one phrase
+SWITCH, AT_BREAK = 1.5, 0.9  # cost of another language after a word, and after a mark that may end a sentence
+UNKNOWN = 0.2  # weight of a word that no language explains as one phrase
+KNOWN = 1.3  # phrases up to which a word is explained
+PIECE_CHARS = 400  # a text is parsed in pieces of about so many characters
 
 
 class Automaton:
@@ -53,6 +57,14 @@ class Automaton:
                     link[q] = link[new] = twin
             last = new
 
+    def dense(self, letters: dict[str, int]) -> np.ndarray:
+        """The transitions as a table of states and letters; -1 for none, and always for letter 0, which is any other."""
+        out = np.full((len(self.next), len(letters) + 1), -1, np.int32)
+        for state, to in enumerate(self.next):
+            for c, new in to.items():
+                out[state, letters[c]] = new
+        return out
+
     def phrases(self, text: str) -> int:
         """Longest matches that the text falls into; a character that the automaton lacks is one by itself."""
         n, at, end, nxt = 0, 0, len(text), self.next
@@ -66,56 +78,97 @@ class Automaton:
         return n
 
 
+def phrase_lengths(table: np.ndarray, flat: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """For each character the length of the phrase it is in, all pieces flat[start[i]:stop[i]] being read side by side."""
+    begins = np.zeros(len(flat) + 1, bool)
+    begins[start] = True
+    at, state, live = start.copy(), np.zeros(len(start), np.int64), np.flatnonzero(start < stop)
+    while len(live):
+        here = at[live]
+        to = table[state[live], flat[here]]
+        on = to >= 0
+        lone = ~on & (state[live] == 0)  # a letter that no phrase begins with
+        state[live] = np.where(on, to, 0)
+        here = here + (on | lone)
+        at[live] = here
+        begins[here[~on]] = True
+        live = live[here < stop[live]]
+    begins = begins[:-1]
+    phrase = np.cumsum(begins) - 1
+    return np.bincount(phrase)[phrase] if len(flat) else phrase
+
+
 class Model:
-    """Languages, each with the automaton of its frequent words."""
+    """Languages, each with the automaton of its running text.
 
-    def __init__(self, words: dict[str, dict[str, int]], least: float = 4e-4) -> None:
-        self.languages = sorted(words)
-        self.automata = []
+    Words that stand in less than `least` of a language's words, names mostly, are cut out of its text. `parsed` is the
+    number of texts of each language that the automaton is made of; all texts count for what is rare.
+    """
+
+    def __init__(self, texts: dict[str, list[str]], least: float = 4e-4, parsed: int = 400) -> None:
+        self.languages = sorted(texts)
+        running = []
         for lang in self.languages:
-            need = max(2, least * sum(words[lang].values()))
-            kept = sorted(w for w, n in words[lang].items() if n >= need) or sorted(words[lang])
-            self.automata.append(Automaton(" " + " ".join(kept) + " "))
-        self.memo: dict[str, tuple] = {}
-
-    def cost(self, word: str) -> tuple:
-        """Phrases needed beyond one, for each language, relative to the longest parse."""
-        known = self.memo.get(word)
-        if known is None:
-            if len(self.memo) > 500_000:
-                self.memo.clear()
-            if LAUGH.fullmatch(word) or len(word) < 2:
-                known = (0.0,) * len(self.languages)
-            else:
-                n = [a.phrases(f" {word} ") for a in self.automata]
-                least, most = min(n), max(n)
-                known = tuple((x - least) / max(most - 1, 1) * (1.0 if least == 1 else UNKNOWN) for x in n)
-            self.memo[word] = known
-        return known
+            split = [words_of(t) for t in texts[lang]]
+            counts = Counter(w for ws in split for w in ws)
+            need = max(2, least * counts.total())
+            kept = {w for w, n in counts.items() if n >= need} or set(counts)
+            rest = " ".join(sorted(kept - {w for ws in split[:parsed] for w in ws}))
+            running.append(" | ".join([rest, *(" ".join(w if w in kept else "|" for w in ws) for ws in split[:parsed])]).join("  "))
+        self.letters = {c: i + 1 for i, c in enumerate(sorted(set("".join(running))))}
+        self.tables = [Automaton(t).dense(self.letters) for t in running]
+        self.limit, self.leads, self.right = np.inf, np.zeros(0), np.zeros(0)
+
+    def parse(self, words: list[list[str]]) -> np.ndarray:
+        """The phrases that each word of each text takes part in, for each language: a phrase counts once, spread over its letters."""
+        pieces, ends = [], []
+        for ws in words:
+            size, begun = 0, 0
+            for i, w in enumerate(ws):
+                size += len(w) + 1
+                if size > PIECE_CHARS or i == len(ws) - 1:
+                    pieces.append(" " + " ".join(ws[begun : i + 1]) + " ")
+                    begun, size = i + 1, 0
+        text = "".join(pieces)
+        n = sum(map(len, words))
+        if not n:
+            return np.zeros((0, len(self.languages)))
+        get = self.letters.get
+        codes = {c: get(c, 0) for c in set(text)}
+        flat = np.array([codes[c] for c in text], np.int32)
+        size = np.array([len(p) for p in pieces])
+        stop = np.cumsum(size)
+        space = np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32
+        first = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        out = np.empty((n, len(self.tables)))
+        for j, table in enumerate(self.tables):
+            cost = np.where(space, 0.0, 1.0 / phrase_lengths(table, flat, stop - size, stop))
+            out[:, j] = np.add.reduceat(cost, first)
+        return out
 
     def segments(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int, int, float]]]]:
-        """For each text its number of words, and its segments (first word, end, language, confidence)."""
-        index: dict[str, int] = {}
-        flat, cut, lengths = [], [], []
+        """For each text its number of words, and its segments (first word, end, language or -1, confidence)."""
+        words, cut, lengths = [], [], []
         for text in texts:
-            before = len(flat)
-            mark = 0
-            small = 0
+            own = []
+            mark = small = 0
             for w in PIECE.findall(NOISE.sub(" ", text) if text else ""):
                 if w[0].isalpha():
                     low = w.lower()
-                    flat.append(index.setdefault(low, len(index)))
+                    own.append(low)
                     cut.append(mark or (small and low != w))  # a capital after a small letter may start a sentence
                     mark, small = 0, low == w
                 else:
                     mark = 1
-            lengths.append(len(flat) - before)
+            words.append(own)
+            lengths.append(len(own))
+        flat = [w for ws in words for w in ws]
+        phrases = self.parse(words)
+        costs = self.relative(flat, phrases)
         k = len(self.languages)
-        table = np.array([self.cost(w) for w in index], np.float64).reshape(-1, k)
         n = np.array(lengths, np.int64)
         start = np.cumsum(n) - n
         order = np.argsort(-n, kind="stable")
-        costs = table[np.array(flat, np.int64)] if flat else np.zeros((0, k))
         breaks = np.where(np.array(cut, bool), AT_BREAK, SWITCH)
         back = np.zeros((len(flat), k), np.int8)
         total = np.zeros((len(texts), k))
@@ -141,6 +194,8 @@ class Model:
             state[rows] = back[at, state[rows]]
         out = []
         sums = np.vstack([np.zeros((1, k)), costs.cumsum(axis=0)])
+        parsed = np.vstack([np.zeros((1, k)), phrases.cumsum(axis=0)])
+        chars = np.r_[0, np.cumsum([len(w) for w in flat])]
         for s, size in zip(start.tolist(), lengths, strict=True):
             own = path[s : s + size]
             ends = [*(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), size] if size else []
@@ -149,11 +204,58 @@ class Model:
                 lang = int(own[a])
                 c = sums[s + e] - sums[s + a]
                 rest = np.delete(c, lang).min() if k > 1 else 0.0
-                segs.append((a, e, lang, float(round(max(0.0, rest - c[lang]) / (e - a), 4))))
+                rate = (parsed[s + e, lang] - parsed[s + a, lang]) / (chars[s + e] - chars[s + a])
+                conf = self.confidence(max(0.0, float(rest - c[lang])), e - a)
+                segs.append((a, e, -1, 0.0) if rate > self.limit else (a, e, lang, conf))
                 a = e
             out.append((size, segs))
         return out
 
+    def relative(self, words: list[str], phrases: np.ndarray) -> np.ndarray:
+        """Phrases beyond the best language's, relative to the worst parse; words that none explains weigh less."""
+        if not len(phrases):
+            return phrases
+        least, most = phrases.min(axis=1, keepdims=True), phrases.max(axis=1, keepdims=True)
+        out = (phrases - least) / np.maximum(most - 0.5, 1.0) * np.where(least <= KNOWN, 1.0, UNKNOWN)
+        empty: dict[str, bool] = {}
+        for w in set(words):
+            empty[w] = len(w) < 2 or LAUGH.fullmatch(w) is not None
+        out[np.array([empty[w] for w in words])] = 0.0
+        return out
+
+    def confidence(self, lead: float, words: int) -> float:
+        """The calibrated share of right passages with such a lead; without calibration the lead a word."""
+        if not len(self.leads):
+            return round(min(1.0, lead / words), 4)
+        return round(float(np.interp(lead, self.leads, self.right)), 4)
+
+    def calibrate(self, held: list[tuple[str, str]], bins: int = 12) -> list[tuple[float, float, int]]:
+        """Fit confidence and limit on held-out labelled texts, cut into passages of 1 to 8 words: (lead, share right, passages) a bin."""
+        words = [words_of(t) for _, t in held]
+        phrases = self.parse(words)
+        costs = self.relative([w for ws in words for w in ws], phrases)
+        leads, right, rates, at = [], [], [], 0
+        for (lang, _), ws in zip(held, words, strict=True):
+            own = self.languages.index(lang)
+            if len(ws) >= 5:
+                rates.append(phrases[at : at + len(ws), own].sum() / sum(map(len, ws)))
+            for size in (1, 2, 3, 5, 8):
+                for i in range(0, len(ws) - size + 1, size):
+                    c = costs[at + i : at + i + size].sum(axis=0)
+                    order = np.argsort(c, kind="stable")
+                    leads.append(c[order[1]] - c[order[0]] if len(c) > 1 else 0.0)
+                    right.append(order[0] == own)
+            at += len(ws)
+        if len(leads) < 10 * bins:
+            return []
+        order = np.argsort(leads, kind="stable")
+        parts = np.array_split(order, bins)
+        leads, right = np.array(leads), np.array(right, float)
+        self.leads = np.array([leads[p].mean() for p in parts])
+        self.right = np.maximum.accumulate([(right[p].sum() + 0.5) / (len(p) + 1) for p in parts])
+        self.limit = 1.15 * float(np.quantile(rates, 0.995)) if len(rates) > 20 else np.inf
+        return [(float(leads[p].mean()), float(right[p].mean()), len(p)) for p in parts]
+
 
 def base_code(lang: Column) -> Column:
     """A language code without region and case, `in` and `ind` as id; null for null, blank and `und`."""
@@ -169,23 +271,30 @@ def fit(samples: DataFrame, lang_col: str, text_col: str, posts: DataFrame, post
     """A model from labelled samples, then widened by labelled posts that it agrees with.
 
     The fit is bounded: at most `most_samples` samples, and at most `most_posts` posts for each language of the samples,
-    taken in the order of a hash of the text (1,000 is the most for which Spark cuts each task's rows before the shuffle). A post widens the model if its only segment has its label's language.
+    taken in the order of a hash of the text (1,000 is the most for which Spark cuts each task's rows before the shuffle). A post
+    widens the model if its only segment has its label's language; a fifth of them is held out for the calibration.
     """
     rows = samples.select(base_code(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     clean = rows.orderBy(F.xxhash64("text"), "text").limit(most_samples).collect()
-    words: dict[str, Counter] = {}
+    texts: dict[str, list[str]] = {}
     for lang, text in sorted(clean):
-        words.setdefault(lang, Counter()).update(words_of(text))
-    first = Model(words)
+        texts.setdefault(lang, []).append(text)
+    first = Model(texts)
     labelled = posts.select(base_code(F.col(post_lang_col)).alias("lang"), F.col(post_text_col).alias("text")).where("text IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
     chosen = labelled.where(F.col("lang").isin(first.languages)).withColumn("place", place).where(F.col("place") <= most_posts).orderBy("lang", "place").collect()
+    held = []
     for lang in first.languages:
         some = [r["text"] for r in chosen if r["lang"] == lang]
-        for text, (size, segs) in zip(some, first.segments(some), strict=True):
+        for i, (text, (size, segs)) in enumerate(zip(some, first.segments(some), strict=True)):
             if size >= 6 and len(segs) == 1 and first.languages[segs[0][2]] == lang and segs[0][3] > 0.1:
-                words[lang].update(words_of(text))
-    return Model(words)
+                if i % 5:
+                    texts[lang].append(text)
+                else:
+                    held.append((lang, text))
+    model = Model(texts)
+    model.calibrate(held)
+    return model
 
 
 SHAPE = "id long, label string, words int, segment int, first_word int, end_word int, lang string, confidence double, passages array<string>"
@@ -199,8 +308,8 @@ def _run(model: Model, passage: int):
             for i, label, (size, segs) in zip(ids, labels, model.segments(b.column(2).to_pylist()), strict=True):
                 if not segs:
                     rows.append((i, label, size, 0, 0, 0, "und", 0.0, []))
-                long = sorted({model.languages[x] for s, e, x, _ in segs if e - s >= passage})
-                rows += ((i, label, size, j, s, e, model.languages[x], conf, long) for j, (s, e, x, conf) in enumerate(segs))
+                long = sorted({model.languages[x] for s, e, x, _ in segs if e - s >= passage and x >= 0})
+                rows += ((i, label, size, j, s, e, model.languages[x] if x >= 0 else "und", conf, long) for j, (s, e, x, conf) in enumerate(segs))
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.list_(pa.string()))
             names = [x.split()[0] for x in SHAPE.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], names=names)
@@ -213,7 +322,7 @@ def label_segments(df: DataFrame, id_col: str, text_col: str, lang_col: str, mod
     and the languages of all the text's segments of at least `passage` words.
 
     Links, mentions, addresses and entities are no words; laughter and single letters carry no evidence. A null, empty or
-    wordless text has one row with language `und` and confidence 0. A repeated row is labelled as often as it stands.
+    wordless text has one row with language `und` and confidence 0, and so has a segment in none of the languages. A repeated row is labelled as often as it stands.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), base_code(F.col(lang_col)).alias("label"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_run(model, passage), SHAPE)

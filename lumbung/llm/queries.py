@@ -16,6 +16,7 @@ COLUMNS = {"fetched_posts": ["post_id", "content", "lang"], "documents": ["doc_i
 
 
 KEY = b"for tests only"  # of the surrogates; in use it is a secret
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 REGION = 1_000  # distinct word sets from which a space is cut into regions: the spaces here have some thousands
 
 
@@ -127,7 +128,7 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    counts = source_mixture.staged_counts(table(spark, sf, "documents"), "doc_id", "text", "source")
+    counts = source_mixture.staged_counts(table(spark, sf, "documents"), "doc_id", "text", "source", VOCABULARY)
     return counts, source_mixture.rates(counts, table(spark, sf, "mix_targets"))
 
 

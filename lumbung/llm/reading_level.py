@@ -68,17 +68,6 @@ class Grades:
         return round(float(np.clip(self.offset + self.slope * q, 1, LEVELS)), 3), round(len(g) / len(words), 4)
 
 
-def _words(batches):
-    for b in batches:
-        keys, words, levels = [], [], []
-        for key, text, level in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            own = sorted(measures(text)[3])
-            keys += [key] * len(own)
-            words += own
-            levels += [level] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(levels, pa.float64())], names=["id", "word", "level"])
-
-
 def fit(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, level_col: str, most_docs: int = 5_000, most_words: int = 100_000, least_docs: int = 3, share: float = 0.5) -> Grades:
     """Word grades and their calibration from judged documents.
 

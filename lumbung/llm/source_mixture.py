@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lumbung.session import stage
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The published pattern by which the byte-level vocabulary's words are cut (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -50,8 +49,11 @@ def plain_source(c: Column) -> Column:
     return F.translate(F.lower(F.trim(c)), "- ", "__")
 
 
-def token_counts(df: DataFrame, id_col: str, text_col: str, source_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, source, tokens): each document's number of tokens of the public byte-level vocabulary; 0 for null text."""
+def token_counts(df: DataFrame, id_col: str, text_col: str, source_col: str, vocabulary: str) -> DataFrame:
+    """(id, source, tokens): each document's number of tokens of the byte-level vocabulary in the file `vocabulary`; 0 for null text.
+
+    The file has a base64 token and its rank on each line and is read by the tasks, so all executors need it.
+    """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), plain_source(F.col(source_col)).alias("source"))
     return rows.mapInArrow(_tokens(vocabulary), "id long, source string, tokens long")
 
@@ -61,10 +63,12 @@ def rates(counts: DataFrame, targets: DataFrame, most_targets: int = 10_000) ->
 
     needed is target_share of all tokens of documents whose source has a target, each taken once; rate is what reaches
     it, at most max_repeats; short says that even max_repeats does not. A source without tokens has rate 0 and is short
-    if it has a share. Null sources, shares and caps are no targets; more than `most_targets` are refused.
+    if it has a share. Null sources, shares and caps are no targets; of a
+    source that is spelled in several ways the first by spelling, share and cap is the target; more than `most_targets` are refused.
     """
-    wanted = targets.select("source", plain_source(F.col("source")).alias("plain"), "target_share", "max_repeats").dropna().dropDuplicates(["plain"])
-    if wanted.limit(most_targets + 1).count() > most_targets:
+    wanted = targets.select("source", plain_source(F.col("source")).alias("plain"), "target_share", "max_repeats").dropna()
+    wanted = wanted.groupBy("plain").agg(*(F.min_by(c, F.struct("source", "target_share", "max_repeats")).alias(c) for c in ("source", "target_share", "max_repeats"))).select("source", "plain", "target_share", "max_repeats")
+    if wanted.select("plain").limit(most_targets + 1).count() > most_targets:
         raise ValueError(f"more than {most_targets} targets")
     sums = counts.groupBy(F.col("source").alias("plain")).agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
     each = wanted.join(sums, "plain", "left").fillna(0, ["documents", "tokens"])
@@ -97,6 +101,6 @@ def shares(mixed: DataFrame, rate: DataFrame) -> DataFrame:
     return each.crossJoin(F.broadcast(total)).select("source", "target_share", "max_repeats", "tokens", F.round("rate", 6).alias("rate"), "mixed_documents", "mixed_tokens", share.alias("actual_share"), "short")
 
 
-def staged_counts(df: DataFrame, id_col: str, text_col: str, source_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def staged_counts(df: DataFrame, id_col: str, text_col: str, source_col: str, vocabulary: str) -> DataFrame:
     """token_counts() written once, for a mixture that reads them twice."""
     return stage(token_counts(df, id_col, text_col, source_col, vocabulary), "tokens")

@@ -8,11 +8,11 @@ EN = "the river was high and we could not walk home because they closed every ro
 
 def model():
     rng = random.Random(2)
-    words = {"id": {w: 9 for w in ID}, "en": {w: 9 for w in EN}}
+    texts = {"id": [" ".join(ID)] * 9, "en": [" ".join(EN)] * 9}
     for _ in range(50):
-        for k in words:
-            words[k]["".join(rng.choice("bdkmnr") + rng.choice("aiu") for _ in range(3))] = 1
-    return language.Model(words)
+        for k in texts:
+            texts[k].append("".join(rng.choice("bdkmnr") + rng.choice("aiu") for _ in range(3)))
+    return language.Model(texts)
 
 
 def test_automaton_finds_longest_matches():
@@ -20,6 +20,19 @@ def test_automaton_finds_longest_matches():
     assert a.phrases("abca") == 1 and a.phrases("abdabc") == 2 and a.phrases("zz") == 2 and a.phrases("") == 0
 
 
+def test_side_by_side_parsing_finds_the_same_phrases():
+    rng = random.Random(8)
+    a = language.Automaton("".join(rng.choice("abc ") for _ in range(300)))
+    letters = {c: i + 1 for i, c in enumerate("abc ")}
+    texts = ["".join(rng.choice("abc x") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    import numpy as np
+
+    flat, size = np.array([letters.get(c, 0) for c in "".join(texts)], np.int32), np.array([len(t) for t in texts])
+    lengths = language.phrase_lengths(a.dense(letters), flat, np.cumsum(size) - size, np.cumsum(size))
+    for t, e, n in zip(texts, np.cumsum(size), size, strict=True):
+        assert round((1 / lengths[e - n : e]).sum(), 6) == a.phrases(t)
+
+
 def test_segments():
     m = model()
     texts = [" ".join(ID[:10]), " ".join(EN[:10]), " ".join(ID[:8]) + ". " + " ".join(EN[:8]), " ".join(ID[:6]) + " again " + " ".join(ID[6:12]), None, "", "wkwkwk haha https://a.example/x @b", " ".join(ID * 3000)]
@@ -57,13 +70,11 @@ def test_held_out_accuracy(spark):
     if not os.path.exists(root):
         pytest.skip("no test data")
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{root}/lang_samples.parquet").orderBy("sample_id").collect()]
-    words = {}
+    texts = {}
     for i, (k, t) in enumerate(rows):
         if i % 5:
-            w = words.setdefault(k, {})
-            for x in language.words_of(t):
-                w[x] = w.get(x, 0) + 1
-    m = language.Model(words)
+            texts.setdefault(k, []).append(t)
+    m = language.Model(texts)
     held = [r for i, r in enumerate(rows) if not i % 5]
     right = sum(segs[0][2] == m.languages.index(k) and len(segs) == 1 for (k, _), (_, segs) in zip(held, m.segments([t for _, t in held]), strict=True))
     assert right >= 0.9 * len(held)

@@ -3,8 +3,9 @@ import os
 import pytest
 
 from lumbung.llm import source_mixture as mix
+from lumbung.llm.queries import VOCABULARY
 
-pytestmark = pytest.mark.skipif(not os.path.exists(mix.VOCABULARY), reason="no vocabulary")
+pytestmark = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary")
 
 
 def test_counts_match_the_tokenizer(spark):
@@ -12,12 +13,12 @@ def test_counts_match_the_tokenizer(spark):
 
     import tiktoken
 
-    with open(mix.VOCABULARY, "rb") as f:
+    with open(VOCABULARY, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     enc = tiktoken.Encoding("t", pat_str=mix.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = ["Halo dunia!  Apa kabar?\n\n3.500 it's", "", None, "😭 naïve ujung " * 2000, "<|endoftext|>"]
     df = spark.createDataFrame([(i, t, " Forum-Warga ") for i, t in enumerate(texts)], "id long, text string, source string")
-    got = {r.id: r for r in mix.token_counts(df, "id", "text", "source").collect()}
+    got = {r.id: r for r in mix.token_counts(df, "id", "text", "source", VOCABULARY).collect()}
     assert [got[i].tokens for i in range(len(texts))] == [len(enc.encode_ordinary(t or "")) for t in texts]
     assert got[0].source == "forum_warga"
 
@@ -26,7 +27,7 @@ def test_shares(spark):
     docs = [(i, "a b c d", "Big") for i in range(900)] + [(1000 + i, "a b c d", "small one") for i in range(60)] + [(2000 + i, "a b", "other") for i in range(50)] + [(3000, None, "Big"), (3001, "x", None)]
     df = spark.createDataFrame([(*d, 1.0, 2) for d in docs], "id long, text string, source string, rate double, copies int")
     targets = spark.createDataFrame([("big", 0.5, 2), ("Small-One", 0.4, 3), ("none", 0.1, 5), (None, 0.5, 1), ("null", None, 1)], "source string, target_share double, max_repeats int")
-    counts = mix.token_counts(df, "id", "text", "source")
+    counts = mix.token_counts(df, "id", "text", "source", VOCABULARY)
     rate = mix.rates(counts, targets)
     by = {r.source: r for r in rate.collect()}
     assert set(by) == {"big", "Small-One", "none"}
@@ -47,7 +48,7 @@ def test_shares(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "id long, text string, source string")
     targets = spark.createDataFrame([("a", 1.0, 2)], "source string, target_share double, max_repeats int")
-    rate = mix.rates(mix.token_counts(df, "id", "text", "source"), targets)
+    rate = mix.rates(mix.token_counts(df, "id", "text", "source", VOCABULARY), targets)
     assert [(r.source, r.short) for r in rate.collect()] == [("a", False)]
-    assert mix.mixture(mix.token_counts(df, "id", "text", "source"), rate).count() == 0
-    assert mix.rates(mix.token_counts(df, "id", "text", "source"), targets.where("false")).count() == 0
+    assert mix.mixture(mix.token_counts(df, "id", "text", "source", VOCABULARY), rate).count() == 0
+    assert mix.rates(mix.token_counts(df, "id", "text", "source", VOCABULARY), targets.where("false")).count() == 0
