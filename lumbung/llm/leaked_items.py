@@ -25,7 +25,8 @@ WORD = re.compile(r"[^\W_]+")
 ASKED = re.compile(r"[?？](?=.*[^\W_])", re.S)
 K1, B = 1.2, 0.75
 EDGE = 1 - 1e-5
-SPANS = (512, 8, 1)  # neighbouring entries whose postings of a term are a block, from the coarsest level to single entries
+SPANS = (512, 4, 1)  # neighbouring entries whose postings of a term are a block, from the coarsest level to single entries
+CELLS = 16_000_000  # greatest weights that are held as a plain table
 AT_ONCE = 500_000  # pairs of a passage and a span that are looked up at once
 PASSAGES = 4096  # passages that are looked up at once
 
@@ -62,6 +63,20 @@ class Index:
             n = -(-max(1, len(items)) // span)
             keys, first = np.unique(which * np.int64(n) + owner // span, return_index=True)
             self.levels.append((n, keys, np.maximum.reduceat(weight, first) if len(weight) else weight))
+        # The finest level of blocks whose greatest weights fit a plain table of terms and spans is summed up as one.
+        self.plain, self.table = None, None
+        for level in range(len(SPANS) - 2, -1, -1):
+            n, keys, greatest = self.levels[level]
+            if n <= 512 and (len(self.terms) + 1) * n <= CELLS:
+                self.plain, self.table = level, np.zeros((len(self.terms) + 1, n), np.float32)
+                self.table.ravel()[keys] = greatest
+                break
+        last = SPANS[-2]
+        n, keys, greatest = self.levels[-1]
+        self.single = None  # weights by term, block of the finest level and entry in it
+        if (len(self.terms) + 1) * (self.levels[-2][0] * last) <= CELLS:
+            self.single = np.zeros((len(self.terms) + 1, self.levels[-2][0], last), np.float32)
+            self.single[keys // n, keys % n // last, keys % n % last] = greatest
         n, keys, greatest = self.levels[0]
         self.first = np.searchsorted(keys, np.arange(len(self.terms) + 1) * np.int64(n))
         self.bound = np.r_[np.maximum.reduceat(greatest, self.first[:-1]) if len(weight) else weight, 0.0].astype(np.float64)
@@ -88,15 +103,17 @@ class Index:
 
     def numbers(self, words: list[str]) -> list[int]:
         """The place of each word among the terms, len(terms) for a word of no item."""
+        out = list(map(self.memo.get, words))
+        if None not in out:
+            return out
         memo, none = self.memo, len(self.terms)
         new = [w for w in dict.fromkeys(words) if w not in memo]
-        if new:
-            if len(memo) > 500_000:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            codes = np.array([code(w) for w in new], np.int64)
-            at = np.minimum(np.searchsorted(self.terms, codes), max(0, none - 1))
-            memo.update(zip(new, np.where(self.terms[at] == codes, at, none).tolist() if none else [none] * len(new), strict=True))
+        if len(memo) > 500_000:
+            memo.clear()
+            new = list(dict.fromkeys(words))
+        codes = np.array([code(w) for w in new], np.int64)
+        at = np.minimum(np.searchsorted(self.terms, codes), max(0, none - 1))
+        memo.update(zip(new, np.where(self.terms[at] == codes, at, none).tolist() if none else [none] * len(new), strict=True))
         return [memo[w] for w in words]
 
     def candidates(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,19 +126,32 @@ class Index:
         bound = self.bound[terms]
         order = np.argsort(bound, axis=1, kind="stable")
         terms, bound = np.take_along_axis(terms, order, 1), np.take_along_axis(bound, order, 1)
-        p, j = np.nonzero((np.cumsum(bound, axis=1) >= EDGE) & (terms < none))
+        found = []
+        if self.plain is not None:
+            sums = self.table[terms[:, 0]]
+            for j in range(1, terms.shape[1]):
+                sums += self.table[terms[:, j]]
+            p, at = np.nonzero(sums >= EDGE - 1e-5)
+            self.opened += len(p)
+            self.skipped += sums.size - len(p)
+            self._parts(self.plain, terms, bound, p, at, found)
+        else:
+            self._by_lists(terms, bound, found)
+        p, e, score = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        both, at = np.unique(p * np.int64(max(1, len(self.items))) + e, return_index=True)  # a passage whose terms were cut apart meets twice
+        return rows[p[at]], e[at], score[at]
+
+    def _by_lists(self, terms, bound, found: list) -> None:
+        """Start from the lists of the terms without which the threshold cannot be reached."""
+        p, j = np.nonzero((np.cumsum(bound, axis=1) >= EDGE) & (terms < len(self.terms)))
         t = terms[p, j]
         size = np.cumsum(self.first[t + 1] - self.first[t])
         cuts = np.searchsorted(size, np.arange(AT_ONCE, size[-1], AT_ONCE)) if len(size) else []
-        found = []
         n, keys, _ = self.levels[0]
         for own, of in zip(np.split(t, cuts), np.split(p, cuts), strict=True):
             block, back = _ranges(self.first[own], self.first[own + 1])
             pairs = np.unique(of[back] * np.int64(n) + keys[block] % n)
             self._descend(0, terms, bound, pairs // n, pairs % n, found)
-        p, e, score = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        both, at = np.unique(p * np.int64(max(1, len(self.items))) + e, return_index=True)  # a passage whose terms were cut apart meets twice
-        return rows[p[at]], e[at], score[at]
 
     def _descend(self, level, terms, bound, p, at, found: list) -> None:
         """Keep the pairs of a passage and a span whose greatest weights reach the threshold, and go on with the span's parts.
@@ -142,6 +172,18 @@ class Index:
         self.skipped += met - len(p)
         if level == len(SPANS) - 1:
             found.append((p, at, sums))
+        else:
+            self._parts(level, terms, bound, p, at, found)
+
+    def _parts(self, level, terms, bound, p, at, found: list) -> None:
+        if level == len(SPANS) - 2 and self.single is not None:
+            for s in range(0, len(p), AT_ONCE // 8):
+                q, b = p[s : s + AT_ONCE // 8], at[s : s + AT_ONCE // 8]
+                sums = self.single[terms[q, 0], b]
+                for j in range(1, terms.shape[1]):
+                    sums += self.single[terms[q, j], b]
+                row, e = np.nonzero(sums >= EDGE - 1e-5)
+                found.append((q[row], b[row] * SPANS[level] + e, sums[row, e].astype(np.float64)))
             return
         parts, below = SPANS[level] // SPANS[level + 1], self.levels[level + 1][0]
         for s in range(0, len(p), max(1, AT_ONCE // parts)):

@@ -19,8 +19,9 @@ def brute(docs, items, run):
     return out
 
 
-@pytest.mark.parametrize("postings", [8_000_000, 150])
-def test_against_brute_force(spark, postings):
+@pytest.mark.parametrize("postings,cells", [(8_000_000, 16_000_000), (150, 16_000_000), (8_000_000, 0)])
+def test_against_brute_force(spark, monkeypatch, postings, cells):
+    monkeypatch.setattr("lumbung.llm.leaked_items.CELLS", cells)
     rng = random.Random(4)
     words = [f"k{i}" for i in range(40)]
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
