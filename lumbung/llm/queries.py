@@ -17,7 +17,7 @@ COLUMNS = {"fetched_posts": ["post_id", "content", "lang"], "documents": ["doc_i
 
 KEY = b"for tests only"  # of the surrogates; in use it is a secret
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-REGION = 1_000  # distinct word sets from which a space is cut into regions: the spaces here have some thousands
+REGION = 2_000  # distinct word sets from which a space is cut into regions: the spaces here have some thousands
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
