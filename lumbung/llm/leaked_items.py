@@ -25,7 +25,7 @@ WORD = re.compile(r"[^\W_]+")
 ASKED = re.compile(r"[?？](?=.*[^\W_])", re.S)
 K1, B = 1.2, 0.75
 EDGE = 1 - 1e-5
-SPANS = (512, 4, 1)  # neighbouring entries whose postings of a term are a block, from the coarsest level to single entries
+SPANS = (512, 64, 16, 4, 1)  # neighbouring entries whose postings of a term are a block, from the coarsest level to single entries
 CELLS = 16_000_000  # greatest weights that are held as a plain table
 AT_ONCE = 500_000  # pairs of a passage and a span that are looked up at once
 PASSAGES = 4096  # passages that are looked up at once
