@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lumbung-")
+        folder = tempfile.mkdtemp(prefix="lumbung-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _OWN[app] = "file://" + folder
     return _OWN[app]
 
 
@@ -28,9 +33,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete all tables that stage() wrote in this session, once nothing that reads them is needed; their number."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def local_session(cpus: str = "8", partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark."""
     return (

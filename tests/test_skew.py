@@ -44,3 +44,13 @@ def test_join_with_hot_keys(spark):
         got = {(r.id, r.c) for r in join_hot(df, cl, ["k"], "n", most).collect()}
         assert got == {(i, k.upper()) for i, k in rows if k and k != "none"}
     assert join_hot(df, cl.where("false"), ["k"], "n").count() == 0
+
+
+def test_staged_tables_are_dropped(spark):
+    import os
+
+    from lumbung.session import drop_staged, stage
+
+    path = stage(spark.range(5), "five").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and drop_staged(spark) >= 1
+    assert not os.path.exists(path) and drop_staged(spark) == 0
