@@ -36,3 +36,12 @@ def test_query_matches_sql(spark, duck, name):
 def test_query_gives_rows_without_repeats(spark, duck, name):
     rows = [tuple(map(str, r)) for r in text.queries()[name](spark, ROOT).collect()]
     assert rows and len(set(rows)) == len(rows)
+
+
+def test_p7_found_weighs_its_terms(spark, duck):
+    found = text.p7_found(spark, ROOT)
+    staged = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+    scored = {tuple(r) for f in staged for r in spark.read.parquet(f).select("record_kind", "record_key", "term", "score").collect()}
+    every = {tuple(r) for r in text.p7_scores(spark, ROOT).select("record_kind", "record_key", "term", "score").collect()}
+    assert scored and scored <= every
+    assert {r[:3] for r in scored} == {tuple(r) for r in found.collect()}
