@@ -127,3 +127,26 @@ def test_neighbours_do_not_depend_on_the_blocks(spark):
     got = [{(r.src, r.dst, round(r.weight, 6)) for r in topics.exact_neighbours(df, "id", "v", 4, block=b).collect()} for b in (20_000, 60)]
     assert got[0] == got[1]
     assert {(s, d) for s, d, w in got[0] if s >= 200 and d < 204} == {(a, b) for a in range(200, 204) for b in range(a + 1, 204)}
+
+
+def test_neighbours_have_no_bound_unless_one_is_given(spark, monkeypatch):
+    df = spark.range(1, 41).select("id", F.array(F.cos("id").cast("float"), F.sin("id").cast("float")).alias("v"))
+    want = sorted(tuple(r) for r in topics.exact_neighbours(df, "id", "v", 3).collect())
+    count = type(df).count
+    monkeypatch.setattr(type(df), "count", lambda self: 300_001 if self.columns == ["id", "v"] else count(self))
+    assert sorted(tuple(r) for r in topics.exact_neighbours(df, "id", "v", 3).collect()) == want
+
+
+def test_best_of_tiles_is_the_whole_search():
+    rng = np.random.default_rng(5)
+    raw = rng.normal(size=(300, 8)).astype(np.float32)
+    raw[40:140] = raw[40]  # a crowd of equal vectors, more than a tile holds
+    ids = np.sort(rng.choice(10_000, 300, replace=False))
+    u = raw.astype(np.float64) / np.linalg.norm(raw.astype(np.float64), axis=1, keepdims=True)
+    best = [np.full((300, 7), topics.NOBODY), np.full((300, 7), -2.0)]
+    for part in (np.arange(0, 300, 2), np.arange(1, 300, 2)):
+        topics._add_block(ids, u, best, ids[part], raw[part], rows=64, width=32)
+    s = np.round(u @ u.T, 9)
+    np.fill_diagonal(s, -2)
+    want = np.array([np.lexsort((ids, -s[i]))[:7] for i in range(300)])
+    assert (best[0] == ids[want]).all() and best[1] == pytest.approx(np.take_along_axis(s, want, 1), abs=2e-9)
