@@ -14,11 +14,12 @@ MOST = 20_000  # local topics that the driver clusters at once
 
 
 def _vectors(cents: DataFrame, keys: list[str]) -> tuple[list[tuple], np.ndarray]:
-    rows = cents.select(*keys, "centroid").orderBy(*keys).limit(MOST + 1).collect()
-    if len(rows) > MOST:
+    t = cents.select(*keys, F.col("centroid").cast("array<double>").alias("centroid")).orderBy(*keys).limit(MOST + 1).toArrow()
+    n = t.num_rows
+    if n > MOST:
         raise ValueError(f"more than {MOST} topics")
-    x = np.array([r[-1] for r in rows], np.float64).reshape(len(rows), -1 if rows else 0)
-    return [tuple(r)[:-1] for r in rows], x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    x = np.asarray(t["centroid"].combine_chunks().flatten(), np.float64).reshape(n, -1 if n else 0)
+    return list(zip(*(t[k].to_pylist() for k in keys), strict=True)), x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
 def _nearest_group(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -28,7 +29,7 @@ def _nearest_group(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
         return np.arange(len(x))
     c = np.array([x[labels == i].mean(axis=0) for i in range(k)])
     c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return (x @ c.T).argmax(axis=1)
+    return np.concatenate([(x[s : s + 1000] @ c.T).argmax(axis=1) for s in range(0, len(x), 1000)])
 
 
 def global_topics(cents: DataFrame, target: tuple[int, int] = (20, 50), seed: int = 42) -> DataFrame:
@@ -80,12 +81,8 @@ def global_summary(local: DataFrame, mapping: DataFrame, cents: DataFrame | None
 def super_topics(cents: DataFrame, keys: list[str], top: int = 10, similarity: float = 0.25, seed: int = 42) -> DataFrame:
     """(*keys, super_topic): communities of similar centroids, or `top` clusters by squared error if there are fewer."""
     ids, x = _vectors(cents, keys)
-    n, edges = len(ids), [np.zeros((0, 3))]
-    for s in range(0, n, 1000):
-        sim = x[s : s + 1000] @ x.T
-        i, j = np.nonzero((sim >= similarity) & (np.arange(n)[None] > np.arange(s, s + len(sim))[:, None]))
-        edges.append(np.column_stack([i + s, j, sim[i, j]]))
-    labels = community.modularity_communities(n, np.concatenate(edges), seed=seed)
+    n = len(ids)
+    labels = community.modularity_communities(n, community.Alike.of(x, similarity), seed=seed)
     if labels.max(initial=-1) + 1 < top <= n:
         labels = community.ward(x, top)
     labels = _nearest_group(x, labels) if n else labels

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -94,3 +95,46 @@ def test_components(spark, parts):
     df = spark.createDataFrame(edges, "a long, b long").repartition(parts)
     assert {tuple(r) for r in components(df).collect()} == want
     assert components(df.where("a = 5 AND b = 5")).count() == 0
+
+
+def test_large_graphs_take_little_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, edges = 30_000, 300_000
+    a = rng.integers(0, n, edges)
+    b = (a + rng.integers(1, 40, edges)) % n
+    e = np.column_stack([a, b, rng.random(edges)])
+    want = community.modularity_communities(n, e, seed=1)
+    monkeypatch.setattr(community, "AT_ONCE", 30_000)
+    tracemalloc.start()
+    got = community.modularity_communities(n, community._graph(n, e), seed=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32e6  # the edges in both directions are 7 MB
+    assert got.max() == pytest.approx(want.max(), rel=0.2)
+
+
+def test_graphs_of_any_piece_are_the_same(monkeypatch):
+    n, edges = planted(4, 30, 2)
+    whole = community._graph(n, [*edges, (3, 3, 1.0), (2, 1, 0.5), (1, 2, 0.5), (5, 6, 0.0)])
+    monkeypatch.setattr(community, "AT_ONCE", 50)
+    parts = community._graph(n, [*edges, (3, 3, 1.0), (2, 1, 0.5), (1, 2, 0.5), (5, 6, 0.0)])
+    assert (whole.first == parts.first).all() and (whole.dst == parts.dst).all() and whole.w == pytest.approx(parts.w)
+    assert parts.degrees() == pytest.approx(whole.degrees())
+    for singly in (0, 10**9):
+        assert (community.modularity_communities(n, whole, singly=singly) == community.modularity_communities(n, parts, singly=singly)).all()
+
+
+def test_alike_vectors_need_not_be_listed():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([c + 0.2 * rng.normal(size=(1_000, 8)) for c in np.eye(8)[:4]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    held, made = community.Alike.of(x, 0.25), community.Alike.of(x, 0.25, most=1_000)
+    assert type(held) is community.Graph and type(made) is community.Alike
+    assert made.degrees() == pytest.approx(held.degrees())
+    tracemalloc.start()
+    labels = community.modularity_communities(len(x), community.Alike.of(x, 0.25, most=1_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # listed with both ends, the 2 million pairs took more
+    assert labels.max() == 3
+    assert sum(np.bincount(labels[1_000 * c : 1_000 * c + 1_000]).max() for c in range(4)) >= 3_980
