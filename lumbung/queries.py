@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -357,19 +358,12 @@ def connected_components(spark, sf):
     return components.components(_edges(spark, sf).where("weight >= 0.9"), "src", "dst")
 
 
-def _plain(edges: DataFrame) -> tuple[list[int], list[tuple[int, int, float]]]:
-    t = edges.orderBy("src", "dst").toArrow()
-    rows = list(zip(t["src"].to_pylist(), t["dst"].to_pylist(), t["weight"].to_pylist(), strict=True))
-    ids = sorted({x for r in rows for x in r[:2]})
-    place = {x: i for i, x in enumerate(ids)}
-    return ids, [(place[a], place[b], w) for a, b, w in rows]
-
-
 @query()
 def graph_communities(spark, sf):
-    ids, edges = _plain(_edges(spark, sf))
-    labels, resolution = community.communities_in_range(len(ids), edges, 5, 20)
-    return spark.createDataFrame([(i, int(x), resolution) for i, x in zip(ids, labels, strict=True)], "vec_id long, community int, resolution double")
+    ids, graph = batch.graph_of(_edges(spark, sf))
+    labels, resolution = community.communities_in_range(len(ids), graph, 5, 20)
+    rows = spark.createDataFrame(pa.table([ids, labels], names=["vec_id", "community"]))
+    return rows.select("vec_id", F.col("community").cast("int").alias("community"), F.lit(resolution).alias("resolution"))
 
 
 @query()

@@ -138,3 +138,16 @@ def test_alike_vectors_need_not_be_listed():
     assert peak < 100e6  # listed with both ends, the 2 million pairs took more
     assert labels.max() == 3
     assert sum(np.bincount(labels[1_000 * c : 1_000 * c + 1_000]).max() for c in range(4)) >= 3_980
+
+
+def test_graph_of_a_table_read_in_pieces(spark):
+    from lumbung.plans import batch
+
+    n, edges = planted(2, 20, 5)
+    df = spark.createDataFrame([(10 * a + 7, 10 * b + 7, w) for a, b, w in edges], "src long, dst long, weight double")
+    want = community._graph(n, edges)
+    for piece in (2_000_000, 25):
+        ids, graph = batch.graph_of(df, piece=piece)
+        assert ids.tolist() == [10 * i + 7 for i in range(n)]
+        assert (graph.first == want.first).all() and (graph.dst == want.dst).all() and (graph.w == want.w).all()
+    assert batch.graph_of(df.where("false"))[1].n == 0
