@@ -151,3 +151,12 @@ def test_graph_of_a_table_read_in_pieces(spark):
         assert ids.tolist() == [10 * i + 7 for i in range(n)]
         assert (graph.first == want.first).all() and (graph.dst == want.dst).all() and (graph.w == want.w).all()
     assert batch.graph_of(df.where("false"))[1].n == 0
+
+
+def test_components_of_more_vectors_than_were_allowed(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    want = sorted(tuple(r) for r in entry.queries()["connected_components"](spark, entry.SMOKE).collect())
+    count = type(spark.range(1)).count
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: 300_001 if self.columns == ["id", "v"] else count(self))
+    assert sorted(tuple(r) for r in entry.queries()["connected_components"](spark, entry.SMOKE).collect()) == want
